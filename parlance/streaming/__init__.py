@@ -1,0 +1,5 @@
+"""Intentionally empty: the capabilities covered here all work on bounded tables.
+
+Every operator in :mod:`parlance.operators` is a plain ``DataFrame -> DataFrame``
+function, so row-wise ones can also be called on a streaming DataFrame.
+"""
