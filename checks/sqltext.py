@@ -167,7 +167,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "returns": (["steps"], """SELECT *, sum(pow(0.99::DOUBLE, turn)*reward) OVER (PARTITION BY episode ORDER BY turn
           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)/pow(0.99::DOUBLE, turn) AS discounted_return FROM steps"""),
     "featured": (["returns"], f"SELECT *, {FEATURE_SQL} AS features FROM returns"),
-    "trainlog": ([], """SELECT datediff('day', DATE '2024-01-01', ts::DATE) AS epoch, event_id, event_type, value/100::DOUBLE AS loss,
+    "trainlog": ([], """SELECT datediff('day', DATE '2024-01-01', ts::DATE)::INT AS epoch, event_id, event_type, value/100::DOUBLE AS loss,
         row_number() OVER (PARTITION BY ts::DATE ORDER BY event_id) AS batch FROM events"""),
     "scored": ([], f"""SELECT doc_id, source, quality::DOUBLE AS label,
         CASE WHEN quality=1 THEN 1::DOUBLE ELSE -1::DOUBLE END + {normal("'logit:'||doc_id")} AS score
