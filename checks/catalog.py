@@ -20,7 +20,7 @@ from parlance.operators import (
 )
 from parlance.plans import quality_report as reports
 from parlance.plans.training_data import prepare_texts
-from parlance.session import ensure_checkpoint_dir
+from parlance.session import ensure_checkpoint_dir, freeze
 from parlance.sources import conversations as conv
 from parlance.sources import files
 
@@ -210,8 +210,8 @@ _Q = lambda c: {"quarter": f"year({c})||'-Q'||quarter({c})"}
 @query("kl_temporal", _with_kl([], S.kl(S.unpivoted("lineitem", _Q("l_shipdate")), S.unpivoted("orders", _Q("o_orderdate"))),
                                f"SELECT feature, {r('kl')} AS kl FROM klrows"))
 def _(v):
-    ship = {"quarter": drift.quarter_label(F.col("l_shipdate"), "drop")}
-    order = {"quarter": drift.quarter_label(F.col("o_orderdate"), "drop")}
+    ship = {"quarter": drift.quarter_label(F.col("l_shipdate"), "drop", typed=True)}
+    order = {"quarter": drift.quarter_label(F.col("o_orderdate"), "drop", typed=True)}
     return drift.kl_divergence(
         v.table("orders"), v.table("lineitem"), ship, production_features=order
     ).withColumn("kl", rnd("kl"))
@@ -267,7 +267,7 @@ def _(v):
 
 @query("exact_median", f"""SELECT {r('median(o_totalprice)')} AS median FROM orders""")
 def _(v):
-    return ranking.median_of(v.table("orders"), "o_totalprice").select(rnd("median").alias("median"))
+    return ranking.median_of(v.table("orders"), "o_totalprice", in_memory=1000).select(rnd("median").alias("median"))
 
 
 @query("non_null_texts", with_(["dirty"], "SELECT conversation_text FROM dirty WHERE conversation_text IS NOT NULL"))
@@ -329,16 +329,16 @@ def _(v):
 
 
 def _vocab(v: Views) -> DataFrame:
-    return vocabulary.build_vocab(v.table("documents"), "text")
+    return vocabulary.build_vocab(v.documents(), "text")
 
 
 def _encoded(v: Views, **options) -> DataFrame:
-    return vocabulary.encode(v.table("documents"), "doc_id", "text", _vocab(v), **options)
+    return vocabulary.encode(v.documents(), "doc_id", "text", _vocab(v), **options)
 
 
 @query("word_counts", with_(["docwords"], 'SELECT token, count(*) AS "count" FROM (SELECT unnest(ws) AS token FROM docwords) GROUP BY token'))
 def _(v):
-    return vocabulary.word_counts(v.table("documents"), "text")
+    return vocabulary.word_counts(v.documents(), "text")
 
 
 @query("build_vocab", with_(["vocab"], "SELECT * FROM vocab"))
@@ -374,7 +374,9 @@ def _(v):
     WHERE id NOT IN (0,2,3) GROUP BY doc_id
     UNION ALL SELECT doc_id, '' FROM enc WHERE len(list_filter(ids, lambda i: i NOT IN (0,2,3))) = 0"""))
 def _(v):
-    return vocabulary.decode(_encoded(v), "doc_id", "ids", _vocab(v))
+    vocab = freeze(_vocab(v))
+    encoded = vocabulary.encode(v.documents(), "doc_id", "text", vocab)
+    return vocabulary.decode(encoded, "doc_id", "ids", vocab)
 
 
 @query("next_token_pairs", with_(["ntp"], f"SELECT doc_id, {_SEQ('input_ids')}, {_SEQ('target_ids')} FROM ntp"))
@@ -384,7 +386,9 @@ def _(v):
 
 @query("pad_batches", with_(["padded"], f"SELECT doc_id, batch_id, {_SEQ('input_ids')}, {_SEQ('target_ids')} FROM padded"))
 def _(v):
-    padded = batching.pad_language_batches(batching.next_token_pairs(_encoded(v)), "doc_id")
+    padded = batching.pad_language_batches(
+        batching.next_token_pairs(_encoded(v)), "doc_id", keys=v.table("documents").select("doc_id")
+    )
     return padded.select("doc_id", "batch_id", joined("input_ids"), joined("target_ids"))
 
 
@@ -428,7 +432,7 @@ def _(v):
     array_to_string(list_slice(ids,2,len(ids)),' ') AS target_ids
     FROM (SELECT key AS doc_id, list_slice([2]||ids||[3], 1, 256) AS ids FROM trainids) JOIN splitdocs USING (doc_id)"""))
 def _(v):
-    examples = prepare_texts(v.table("documents"), "doc_id", "text").examples
+    examples = prepare_texts(v.documents(), "doc_id", "text").examples
     return examples.select("doc_id", "split", joined("input_ids"), joined("target_ids"))
 
 
@@ -507,7 +511,7 @@ def _(v):
 
 def _sft_sequences(v: Views, **options) -> DataFrame:
     return pairs.sft_sequences(
-        v.turns(), "pair_id", "context", "response", vocabulary.with_separator(_vocab(v)), **options
+        v.turns(), "pair_id", "context", "response", freeze(vocabulary.with_separator(_vocab(v))), **options
     )
 
 
@@ -578,17 +582,37 @@ def _(v):
 
 @query("discounted_returns", with_(["returns"], f"SELECT event_id, {r('discounted_return')} AS discounted_return FROM returns"))
 def _(v):
-    returns = sequences.discounted_returns(v.steps(), "episode", "turn", "reward")
+    returns = sequences.discounted_returns(v.steps(), "episode", "turn", "reward", max_turns=10)
+    return returns.select("event_id", rnd("discounted_return").alias("discounted_return"))
+
+
+@query("discounted_returns_long", f"""SELECT event_id, {r('g')} AS discounted_return FROM (SELECT event_id,
+    sum(pow(0.99::DOUBLE, turn)*reward) OVER (PARTITION BY user_id ORDER BY turn
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)/pow(0.99::DOUBLE, turn) AS g
+    FROM (SELECT event_id, user_id, value/100::DOUBLE AS reward,
+      row_number() OVER (PARTITION BY user_id ORDER BY event_id)-1 AS turn FROM events))""")
+def _(v):
+    rewards = v.table("events").select("event_id", "user_id", (F.col("value") / 100.0).alias("reward"))
+    numbered = ranking.number_turns(rewards, "user_id", ["event_id"])
+    returns = sequences.discounted_returns(numbered, "user_id", "turn", "reward", chunk=16)
     return returns.select("event_id", rnd("discounted_return").alias("discounted_return"))
 
 
+@query("satisfaction_gain", """SELECT event_id, round(value - coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY event_id), 0) + 1e-9::DOUBLE, 6) AS gain
+    FROM events""")
+def _(v):
+    numbered = ranking.number_turns(v.table("events").select("event_id", "user_id", "value"), "user_id", ["event_id"])
+    gains = sequences.previous_value(numbered, "user_id", "turn", "value", 0.0, "before", chunk=16)
+    return gains.select("event_id", rnd(F.col("value") - F.col("before")).alias("gain"))
+
+
 @query("state_features", with_(["featured"], "SELECT event_id, unnest(range(0,10))::INT AS i, round(unnest(features) + 1e-9::DOUBLE, 6) AS x FROM featured"))
 def _(v):
     return v.steps().select("event_id", F.posexplode(trajectory.state_features()).alias("i", "x")).withColumn("x", rnd("x"))
 
 
 def _training_set(v: Views) -> DataFrame:
-    return trajectory.value_training_set(v.steps())
+    return trajectory.value_training_set(v.steps(), max_turns=10)
 
 
 @query("value_training_set", with_(["featured"], f"""SELECT event_id, {r('discounted_return')} AS discounted_return,
@@ -685,7 +709,9 @@ def _(v):
 def _(v):
     from parlance.functions.hashing import uniform
 
-    padded = batching.pad_language_batches(batching.next_token_pairs(_encoded(v)), "doc_id")
+    padded = batching.pad_language_batches(
+        batching.next_token_pairs(_encoded(v)), "doc_id", keys=v.table("documents").select("doc_id")
+    )
     tokens = padded.select("doc_id", "batch_id", F.posexplode("target_ids").alias("pos", "target"))
     nll = -F.ln(uniform("nll", F.col("doc_id"), F.col("pos")) * 0.9 + 0.05)
     return trainlog.masked_token_loss(tokens.withColumn("nll", nll), ["batch_id"]).withColumn("loss", rnd("loss"))
@@ -740,7 +766,9 @@ def _(v):
 @query("bigram_perplexity", with_(["model"], f"""SELECT doc_id, count(*) AS tokens, {r('avg(-ln(probability))')} AS nll,
     {r('exp(avg(-ln(probability)))', 3)} AS perplexity FROM tokenpairs JOIN model USING (prev, next) GROUP BY doc_id"""))
 def _(v):
-    scored = nextword.sequence_perplexity(_encoded(v), "doc_id", _model(v), vocabulary.VOCAB_SIZE)
+    encoded = vocabulary.encode(v.documents(), "doc_id", "text", freeze(_vocab(v)))
+    model = freeze(nextword.bigram_model(encoded, vocabulary.VOCAB_SIZE))
+    scored = nextword.sequence_perplexity(encoded, "doc_id", model, vocabulary.VOCAB_SIZE)
     return scored.withColumns({"nll": rnd("nll"), "perplexity": rnd("perplexity", 3)})
 
 
@@ -753,11 +781,11 @@ def _(v):
     SELECT -ln((coalesce(n,0)+0.1::DOUBLE)/(coalesce(m,0)+500::DOUBLE)) AS c FROM sp LEFT JOIN pm USING (prev, next) LEFT JOIN pt USING (prev)
     WHERE split='val')"""))
 def _(v):
-    examples = prepare_texts(v.table("documents"), "doc_id", "text").examples
+    examples = prepare_texts(v.documents(), "doc_id", "text").examples
     # examples are already shifted; the sequence is the input plus the last target
     ids = F.concat("input_ids", F.slice("target_ids", -1, 1)).alias("ids")
     part = lambda name: examples.where(F.col("split") == name).select("doc_id", ids)
-    model = nextword.bigram_model(part("train"), vocabulary.VOCAB_SIZE)
+    model = freeze(nextword.bigram_model(part("train"), vocabulary.VOCAB_SIZE))
     result = nextword.corpus_perplexity(part("val"), model, vocabulary.VOCAB_SIZE)
     return result.withColumns({"nll": rnd("nll"), "perplexity": rnd("perplexity", 3)})
 
@@ -770,7 +798,7 @@ def _(v):
 
 @query("preference_scorer")
 def _(v):
-    labelled = v.table("documents").join(v.table("labels"), "doc_id").select(
+    labelled = v.documents().join(v.table("labels"), "doc_id").select(
         "doc_id", "source", "text", F.col("quality").cast("double").alias("label")
     )
     split = ranking.hash_split(labelled, "doc_id")

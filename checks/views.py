@@ -10,6 +10,7 @@ from parlance.operators import pairs, trajectory
 from parlance.operators.ranking import number_turns
 from parlance.operators.sequences import best_before, previous_value
 from parlance.sources import conversations as conv
+from parlance.sources.files import read_parquet
 
 
 class Views:
@@ -19,16 +20,20 @@ class Views:
         self.spark, self.folder = spark, folder
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    def table(self, name: str, spread: bool = False) -> DataFrame:
+        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", spread)
+
+    def documents(self) -> DataFrame:
+        """For the text-heavy queries."""
+        return self.table("documents", spread=True)
 
     # conversation tables: one generated record per order, per event
     def train(self) -> DataFrame:
-        keys = self.table("orders").select(F.col("o_orderkey").alias("id"))
+        keys = self.table("orders", spread=True).select(F.col("o_orderkey").alias("id"))
         return conv.generate(keys, "id", conv.TRAINING)
 
     def prod(self) -> DataFrame:
-        keys = self.table("events").select(F.col("event_id").alias("id"))
+        keys = self.table("events", spread=True).select(F.col("event_id").alias("id"))
         return conv.generate(keys, "id", conv.PRODUCTION)
 
     def dirty(self) -> DataFrame:
@@ -81,7 +86,7 @@ class Views:
             "customer_segment": segment, "product_category": category,
             "mentioned_issue": F.pmod(e, F.lit(10)) < 3, "asked_about_price": F.pmod(e, F.lit(10)) >= 6,
         })
-        stateful = previous_value(described, "episode", "turn", "satisfaction_after", 0.55, "satisfaction")
+        stateful = previous_value(described, "episode", "turn", "satisfaction_after", 0.55, "satisfaction", max_turns=10)
         reward = trajectory.step_reward(
             F.col("satisfaction"), F.col("satisfaction_after"), F.col("purchased"), F.col("escalated")
         )
@@ -95,7 +100,7 @@ class Views:
     def episodes(self) -> DataFrame:
         """Steps up to the first terminal one."""
         flagged = self.steps().withColumn("ends", self.terminal().cast("int"))
-        return best_before(flagged, "episode", "turn", "ends", "ended").where(
+        return best_before(flagged, "episode", "turn", "ends", "ended", max_turns=10).where(
             F.coalesce("ended", F.lit(0)) == 0
         )
 

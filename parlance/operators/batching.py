@@ -24,14 +24,14 @@ def next_token_pairs(df: DataFrame, ids: str = "ids") -> DataFrame:
 
 
 def pad_batches(df: DataFrame, key: str, sequences: dict[str, int], batch_size: int = 32, seed: int = 42,
-                order: list[Column] | None = None) -> DataFrame:
+                order: list[Column] | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Number batches of ``batch_size`` rows and pad arrays to the longest first array of the batch.
 
     ``sequences`` maps each array column to its padding id; the first one sets the length.
     Rows are taken in seeded hash order, or in ``order`` (unique) if given. A batch is one
-    small group; nothing larger meets in a task.
+    small group; nothing larger meets in a task. ``keys``: see ``hash_rank``.
     """
-    ranked = hash_rank(df, key, seed, "_rank") if order is None else ordered_rank(df, order, "_rank")
+    ranked = hash_rank(df, key, seed, "_rank", keys) if order is None else ordered_rank(df, order, "_rank")
     batch = Window.partitionBy("batch_id")
     lead = next(iter(sequences))
     sized = ranked.withColumn("batch_id", F.floor(F.col("_rank") / F.lit(batch_size)).cast("bigint")).withColumn(
@@ -44,10 +44,12 @@ def pad_batches(df: DataFrame, key: str, sequences: dict[str, int], batch_size:
     return sized.withColumns(padded).drop("_rank", "_longest")
 
 
-def pad_language_batches(df: DataFrame, key: str, batch_size: int = 32, seed: int = 42) -> DataFrame:
-    return pad_batches(df, key, {"input_ids": PAD, "target_ids": PAD}, batch_size, seed)
+def pad_language_batches(df: DataFrame, key: str, batch_size: int = 32, seed: int = 42,
+                         keys: DataFrame | None = None) -> DataFrame:
+    return pad_batches(df, key, {"input_ids": PAD, "target_ids": PAD}, batch_size, seed, keys=keys)
 
 
-def pad_response_batches(df: DataFrame, key: str, batch_size: int = 16, seed: int = 42) -> DataFrame:
+def pad_response_batches(df: DataFrame, key: str, batch_size: int = 16, seed: int = 42,
+                         keys: DataFrame | None = None) -> DataFrame:
     """Targets are padded with the ignored id instead of PAD."""
-    return pad_batches(df, key, {"input_ids": PAD, "target_ids": IGNORE}, batch_size, seed)
+    return pad_batches(df, key, {"input_ids": PAD, "target_ids": IGNORE}, batch_size, seed, keys=keys)

@@ -82,8 +82,12 @@ def impute_missing(df: DataFrame) -> DataFrame:
         modes = most_frequent(clean, strings).select(F.struct(*[F.col(f"`{c}`") for c in strings]).alias("m"))
         for c in strings:
             filled[c] = F.coalesce(F.col(f"`{c}`"), modes.scalar()[c])
-    for c in numbers:
-        filled[c] = F.coalesce(F.col(f"`{c}`").cast("double"), median_of(clean, c).scalar())
+    if numbers:
+        # one small row tells which columns need a median at all; all become doubles either way
+        gaps = clean.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in numbers]).first().asDict()
+        for c in numbers:
+            value = F.col(f"`{c}`").cast("double")
+            filled[c] = F.coalesce(value, median_of(clean, c).scalar()) if gaps[c] else value
     return clean.withColumns(filled) if filled else clean
 
 

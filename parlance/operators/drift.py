@@ -21,17 +21,18 @@ KL_MAX = 0.1  # fixed value: a feature passes below it
 Features = Sequence[str] | Mapping[str, Column]
 
 
-def quarter_label(timestamp: Column, unparsed: str = "label") -> Column:
-    """``2021-Q3`` for an ISO timestamp.
+def quarter_label(timestamp: Column, unparsed: str = "label", typed: bool = False) -> Column:
+    """``2021-Q3`` for an ISO timestamp text, or for a date or timestamp column (``typed``).
 
     ``unparsed='label'`` gives missing cells the label ``nan-Qnan`` and malformed ones
     ``invalid``, which then count as periods of their own; ``'drop'`` makes both NULL.
     """
     if unparsed not in ("label", "drop"):
         raise ValueError("unparsed must be 'label' or 'drop'")
-    text = timestamp.cast("string")
     # the leading-date test keeps time-only or year-only texts from being completed
-    parsed = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
+    parsed = timestamp if typed else F.when(
+        timestamp.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(timestamp)
+    )
     label = F.concat(F.year(parsed).cast("string"), F.lit("-Q"), F.quarter(parsed).cast("string"))
     if unparsed == "drop":
         return label

@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parlance.functions.hashing import digest, hash_bucket
+from parlance.functions.hashing import digest, hash_bucket, uniform
 from parlance.session import ensure_checkpoint_dir
 
 HEX_DIGITS = 4  # 65,536 buckets: offsets stay below a few MB, a bucket is 1/65,536 of the rows
+IN_MEMORY_VALUES = 100_000  # distinct values one task may hold for a percentile
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in 33 bits
 
 
@@ -31,10 +32,17 @@ def _running_offsets(counts: DataFrame, order: str, n: str) -> DataFrame:
     return counts.withColumn("offset", F.coalesce(F.sum(n).over(before), F.lit(0)).cast("bigint"))
 
 
-def hash_rank(df: DataFrame, key: str, seed: int = 42, name: str = "rank") -> DataFrame:
-    """Add the exact 0-based global position in seeded hash order (a reproducible shuffle)."""
-    hashed = df.withColumn("_h", digest(seed, F.col(key))).withColumn("_b", hash_bucket(F.col("_h"), HEX_DIGITS))
-    offsets = _running_offsets(hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), "_b", "_n")
+def hash_rank(df: DataFrame, key: str, seed: int = 42, name: str = "rank",
+              keys: DataFrame | None = None) -> DataFrame:
+    """Add the exact 0-based global position in seeded hash order (a reproducible shuffle).
+
+    The bucket counts need a pass of their own. If ``df`` is expensive to compute, pass as
+    ``keys`` a table that holds exactly the same keys and is cheap to scan.
+    """
+    h = digest(seed, F.col(key))
+    hashed = df.withColumn("_h", h).withColumn("_b", hash_bucket(F.col("_h"), HEX_DIGITS))
+    counted = (df if keys is None else keys).select(hash_bucket(h, HEX_DIGITS).alias("_b"))
+    offsets = _running_offsets(counted.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), "_b", "_n")
     inside = Window.partitionBy("_b").orderBy("_h", key)
     return (
         hashed.withColumn("_i", F.row_number().over(inside) - 1)
@@ -86,8 +94,6 @@ def hash_split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42, name
 
 def threshold_split(key: Column, ratio: float = 0.8, seed: int = 42) -> Column:
     """Label by an independent coin per row: approximate sizes, no pass over the table at all."""
-    from parlance.functions.hashing import uniform
-
     return F.when(uniform(seed, "split", key) < F.lit(ratio), F.lit("train")).otherwise(F.lit("val"))
 
 
@@ -149,17 +155,21 @@ def number_turns(df: DataFrame, group: str, order: list[str], name: str = "turn"
     )
 
 
-def median_of(df: DataFrame, column: str) -> DataFrame:
+def median_of(df: DataFrame, column: str, in_memory: int = IN_MEMORY_VALUES) -> DataFrame:
     """One-row exact median of a numeric column (interpolated), NULL for an empty column.
 
-    Equal values are counted first, so a value held by a third of the rows is one row
-    of the sort. Only the partition that holds the middle is looked at row by row.
+    Equal values are counted first, so a value held by a third of the rows is one row.
+    Up to ``IN_MEMORY_VALUES`` distinct values (checked) one task takes the weighted
+    percentile; beyond it the distinct values are sorted and only the partition that holds
+    the middle is looked at row by row.
     """
     values = (
         df.select(F.col(column).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
     )
+    if values.limit(in_memory + 1).count() <= in_memory:
+        return values.agg(F.percentile("_v", 0.5, F.col("_c")).alias("median"))
     chunks = sorted_chunks(values, [F.col("_v")], ["_v", "_c"])
     offsets = _running_offsets(chunks.groupBy("_pid").agg(F.sum("_c").alias("_n")), "_pid", "_n")
     whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

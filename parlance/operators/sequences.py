@@ -2,8 +2,11 @@
 
 A window over a whole group would put a very long group into one task. The windows
 here run over (group, chunk of consecutive turns) instead; what crosses a chunk
-border travels in a small carry table read from the rows at the borders only. With
-the usual short episodes the carry table is empty and adaptive execution drops the join.
+border travels in a small carry table read from the rows at the borders only.
+
+Where episodes are known to be short, ``max_turns`` states the bound: the carry table is
+left out, all operators then share one shuffle and sort by group, and a row beyond the
+bound stops the job with an error instead of growing a window.
 """
 
 from __future__ import annotations
@@ -21,11 +24,23 @@ def _chunk(turn: str, size: int) -> Column:
     return F.floor(F.col(turn) / F.lit(size)).cast("bigint")
 
 
+def _guarded(value: Column, turn: str, max_turns: int) -> Column:
+    """The value, or an error for a turn outside [0, max_turns)."""
+    message = F.concat(F.lit(f"turn outside [0, {max_turns}): "), F.col(turn).cast("string"))
+    inside = (F.col(turn) >= 0) & (F.col(turn) < max_turns)
+    return F.when(inside, value).otherwise(F.raise_error(message))
+
+
 def previous_value(df: DataFrame, group: str, turn: str, value: Column | str, initial: Column | float,
-                   name: str, chunk: int = CHUNK) -> DataFrame:
+                   name: str, chunk: int = CHUNK, max_turns: int | None = None) -> DataFrame:
     """Add the value of the preceding turn, ``initial`` at the first turn of a group."""
     value = F.col(value) if isinstance(value, str) else value
     initial = initial if isinstance(initial, Column) else F.lit(initial)
+    if max_turns is not None:
+        before = F.lag(F.struct(_guarded(value, turn, max_turns).alias("v"))).over(
+            Window.partitionBy(group).orderBy(turn)
+        )
+        return df.withColumn(name, F.when(before.isNull(), initial).otherwise(before["v"]))
     local = Window.partitionBy(group, "_chunk").orderBy(turn)
     rows = df.withColumn("_value", value).withColumn("_chunk", _chunk(turn, chunk))
     carry = (
@@ -50,7 +65,8 @@ def return_chunk(gamma: float) -> int:
 
 
 def discounted_returns(df: DataFrame, group: str, turn: str, reward: str, gamma: float = 0.99,
-                       name: str = "discounted_return", chunk: int | None = None) -> DataFrame:
+                       name: str = "discounted_return", chunk: int | None = None,
+                       max_turns: int | None = None) -> DataFrame:
     """Add the return-to-go ``G_t = r_t + gamma * G_{t+1}`` of each step.
 
     Inside a chunk the recursion has the closed form ``sum(gamma^k r_k) / gamma^t``,
@@ -60,6 +76,11 @@ def discounted_returns(df: DataFrame, group: str, turn: str, reward: str, gamma:
     if gamma == 0.0:
         return df.withColumn(name, F.col(reward))
     power = lambda exponent: F.pow(F.lit(float(gamma)), exponent)
+    if max_turns is not None and max_turns <= size:
+        t = F.col(turn).cast("double")
+        onward = Window.partitionBy(group).orderBy(turn).rowsBetween(0, Window.unboundedFollowing)
+        weighted = F.sum(power(t) * _guarded(F.col(reward), turn, max_turns)).over(onward)
+        return df.withColumn(name, weighted / power(t))
     rows = (
         df.withColumn("_chunk", _chunk(turn, size))
         .withColumn("_o", (F.col(turn) - F.col("_chunk") * F.lit(size)).cast("double"))
@@ -85,9 +106,12 @@ def discounted_returns(df: DataFrame, group: str, turn: str, reward: str, gamma:
 
 
 def best_before(df: DataFrame, group: str | None, step: str, value: str, name: str,
-                chunk: int = CHUNK) -> DataFrame:
+                chunk: int = CHUNK, max_turns: int | None = None) -> DataFrame:
     """Add the maximum over all earlier steps of the group, NULL at its first step."""
     keys = [group] if group else []
+    if max_turns is not None:
+        earlier = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.max(_guarded(F.col(value), step, max_turns)).over(earlier))
     rows = df.withColumn("_chunk", _chunk(step, chunk))
     earlier_chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = (

@@ -124,9 +124,10 @@ def state_features() -> Column:
     )
 
 
-def value_training_set(steps: DataFrame, gamma: float = 0.99) -> DataFrame:
+def value_training_set(steps: DataFrame, gamma: float = 0.99, max_turns: int | None = None) -> DataFrame:
     """Each step with its features and its discounted return."""
-    return discounted_returns(steps, "episode", "turn", "reward", gamma).withColumn("features", state_features())
+    returns = discounted_returns(steps, "episode", "turn", "reward", gamma, max_turns=max_turns)
+    return returns.withColumn("features", state_features())
 
 
 def policy_metrics(steps: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -165,9 +166,11 @@ def gram_matrix(df: DataFrame, features: str = "features", target: str = "discou
 
     One aggregation with partial sums per task; the result has a fixed number of rows.
     """
-    column = lambda i: F.col(features)[i] if i < width else F.col(target)
+    flat = df.select(
+        *[F.col(features)[i].alias(f"x{i}") for i in range(width)], F.col(target).alias(f"x{width}")
+    )
     cells = [(i, j) for i in range(width) for j in range(i, width + 1)]
-    sums = df.agg(*[F.sum(column(i) * column(j)).alias(f"s{i}_{j}") for i, j in cells])
+    sums = flat.agg(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i, j in cells])
     entry = lambda i, j: F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"s{i}_{j}").alias("value"))
     return sums.select(F.inline(F.array(*[entry(i, j) for i, j in cells])))
 

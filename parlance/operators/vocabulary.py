@@ -78,9 +78,8 @@ def word_ids(df: DataFrame, key: str, word_arrays: list[str], vocab: DataFrame)
     entry = F.when(
         F.col("token").isNotNull(), F.struct("part", "pos", F.coalesce("id", F.lit(UNK)).alias("id"))
     )
-    grouped = found.groupBy(key).agg(
-        *[F.first(o).alias(o) for o in others], F.array_sort(F.collect_list(entry)).alias("_entries")
-    )
+    # the other columns follow from the key; as grouping columns they let filters through to the scan
+    grouped = found.groupBy(key, *others).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     ids_of = lambda i: F.transform(
         F.filter(F.col("_entries"), lambda e: e["part"] == i), lambda e: e["id"]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "parlance") -> SparkSession:
@@ -38,3 +38,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """Compute a bounded artefact (a vocabulary, a model) once and read it back wherever it is used.
+
+    Written to the shared checkpoint folder, so it outlives executors.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
