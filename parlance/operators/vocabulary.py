@@ -67,21 +67,22 @@ def word_ids(df: DataFrame, key: str, word_arrays: list[str], vocab: DataFrame)
     """
     others = [c for c in df.columns if c != key and c not in word_arrays]
     tagged = F.array(*[
-        F.struct(F.lit(i).alias("part"), F.col(c).alias("ws")) for i, c in enumerate(word_arrays)
+        F.struct(F.lit(i).alias("_part"), F.col(c).alias("_words")) for i, c in enumerate(word_arrays)
     ])
     exploded = (
         df.repartition(key)
         .select(key, *others, F.inline(tagged))
-        .select(key, *others, "part", F.posexplode_outer("ws").alias("pos", "token"))
+        .select(key, *others, "_part", F.posexplode_outer("_words").alias("_pos", "_token"))
     )
-    found = exploded.join(F.broadcast(vocab.select("token", F.col("id"))), "token", "left")
+    lookup = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
+    found = exploded.join(F.broadcast(lookup), "_token", "left")
     entry = F.when(
-        F.col("token").isNotNull(), F.struct("part", "pos", F.coalesce("id", F.lit(UNK)).alias("id"))
+        F.col("_token").isNotNull(), F.struct("_part", "_pos", F.coalesce("_id", F.lit(UNK)).alias("_id"))
     )
     # the other columns follow from the key; as grouping columns they let filters through to the scan
     grouped = found.groupBy(key, *others).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
     ids_of = lambda i: F.transform(
-        F.filter(F.col("_entries"), lambda e: e["part"] == i), lambda e: e["id"]
+        F.filter(F.col("_entries"), lambda e: e["_part"] == i), lambda e: e["_id"]
     )
     return grouped.select(key, *others, *[ids_of(i).alias(c) for i, c in enumerate(word_arrays)])
 
@@ -113,11 +114,11 @@ def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:
     shown = F.filter(F.col(ids), lambda i: ~i.isin(PAD, BOS, EOS))
     exploded = (
         df.select(key, shown.alias("_ids")).repartition(key)
-        .select(key, F.posexplode_outer("_ids").alias("pos", "id"))
+        .select(key, F.posexplode_outer("_ids").alias("_pos", "_id"))
     )
-    found = exploded.join(F.broadcast(vocab.select("id", "token")), "id", "left")
-    entry = F.when(
-        F.col("pos").isNotNull(), F.struct("pos", F.coalesce("token", F.lit(SPECIAL_TOKENS[UNK])).alias("token"))
-    )
-    tokens = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["token"])
+    lookup = vocab.select(F.col("id").alias("_id"), F.col("token").alias("_token"))
+    found = exploded.join(F.broadcast(lookup), "_id", "left")
+    token = F.coalesce("_token", F.lit(SPECIAL_TOKENS[UNK])).alias("_token")
+    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", token))
+    tokens = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_token"])
     return found.groupBy(key).agg(F.array_join(tokens, " ").alias("text"))
