@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from parlance.operators.batching import next_token_pairs
 
 SMOOTHING = 0.1
+SALTS = 16
 
 
 def token_pairs(encoded: DataFrame, *keep: str, ids: str = "ids") -> DataFrame:
@@ -38,14 +39,21 @@ def sequence_perplexity(encoded: DataFrame, key: str, model: DataFrame, vocab_si
                         smoothing: float = SMOOTHING, ids: str = "ids") -> DataFrame:
     """``key, tokens, nll, perplexity`` of each sequence under a bigram model.
 
-    Frequent pairs are skewed join keys. Each sequence is counted per distinct pair first,
-    and adaptive execution splits what stays skewed (or broadcasts a small model).
+    A pair that nearly every sequence contains is a hot join key. Each sequence is counted per
+    distinct pair first; then its pairs take one of ``SALTS`` salts by the sequence's key and
+    meet a copy of the model per salt, so that a hot pair is spread over as many tasks.
     """
-    pairs = token_pairs(encoded, key, ids=ids).groupBy(key, "prev", "next").agg(F.count(F.lit(1)).alias("c"))
+    pairs = (
+        token_pairs(encoded, key, ids=ids).groupBy(key, "prev", "next").agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("_salt", F.pmod(F.hash(key), F.lit(SALTS)))
+    )
+    copies = model.select("prev", "next", "probability").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    )
     totals = F.broadcast(model.groupBy("prev").agg(F.max("prev_n").alias("prev_n")))
     unseen = F.lit(smoothing) / (F.coalesce("prev_n", F.lit(0)) + F.lit(smoothing * vocab_size))
     scored = (
-        pairs.join(model.select("prev", "next", "probability"), ["prev", "next"], "left")
+        pairs.join(copies, ["prev", "next", "_salt"], "left")
         .join(totals, "prev", "left")
         .withColumn("cost", -F.ln(F.coalesce("probability", unseen)) * F.col("c"))
     )

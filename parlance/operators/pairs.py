@@ -160,7 +160,8 @@ def preference_pairs(df: DataFrame, key: str, context: str = "context", response
     """
     rows = df
     if n_contexts is not None:
-        rows = df.join(F.broadcast(first_contexts(df, key, context, n_contexts).select(context)), context, "left_semi")
+        chosen = first_contexts(df, key, context, n_contexts).select(context)
+        rows = df.join(F.broadcast(chosen) if n_contexts <= HEAP_LIMIT else chosen, context, "left_semi")
     side = score_band(F.col(score)) if band is None else band
     candidate = F.struct(
         digest(seed, "pick", F.col(key)).alias("h"), F.col(key).alias("k"),
@@ -198,7 +199,7 @@ def sft_sequences(df: DataFrame, key: str, context: str, response: str, vocab: D
     """
     head = lambda c: F.slice(words(F.col(c)), 1, max_length)  # later words are cut in any case
     rows = word_ids(
-        df.select(key, head(context).alias("ctx"), head(response).alias("resp")), key, ["ctx", "resp"], vocab
+        df.select(key, head(context).alias("ctx"), head(response).alias("resp")), ["ctx", "resp"], vocab
     ).withColumn("sep", vocab.where(F.col("token") == SEP_TOKEN).select(F.max("id")).scalar())
     inputs = F.concat(F.array(F.lit(BOS)), "ctx", F.array("sep"), "resp", F.array(F.lit(EOS)))
     targets = F.concat(F.array_repeat(F.lit(IGNORE), F.size("ctx") + 2), F.col("resp"), F.array(F.lit(EOS)))

@@ -1,7 +1,7 @@
 """Word counts, vocabulary, encoding and decoding.
 
 A vocabulary is a table ``(id, token, count)`` of at most ``size`` rows; that bound is
-what allows broadcasting it.
+what allows sending it to every task.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ SPECIAL_TOKENS = ["<PAD>", "<UNK>", "<BOS>", "<EOS>"]
 SEP_TOKEN = "<SEP>"
 VOCAB_SIZE = 5000
 MAX_LENGTH = 256
+SLOTS = 1 << 14  # hash slots of a vocabulary lookup
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -58,33 +59,40 @@ def with_separator(vocab: DataFrame) -> DataFrame:
     return vocab.unionByName(row.where(F.col("present") == 0).drop("present"))
 
 
-def word_ids(df: DataFrame, key: str, word_arrays: list[str], vocab: DataFrame) -> DataFrame:
-    """Replace arrays of words by arrays of ids, unknown words by the UNK id.
+def _slot(token: Column | str) -> Column:
+    return F.pmod(F.hash(token), F.lit(SLOTS))
+
 
-    ``key`` must be unique. Rows are partitioned by key once, as short arrays, before they
-    are exploded; the lookup is a broadcast join with the bounded vocabulary, and putting
-    the arrays together again needs no further shuffle.
+def _id_lookup(vocab: DataFrame) -> DataFrame:
+    """One row, one array: at each hash slot the small map of the tokens that fall there.
+
+    The size is bounded by the vocabulary, so it travels as a scalar subquery, and a word is
+    found in one or two comparisons instead of a scan of a map of thousands of entries.
     """
-    others = [c for c in df.columns if c != key and c not in word_arrays]
-    tagged = F.array(*[
-        F.struct(F.lit(i).alias("_part"), F.col(c).alias("_words")) for i, c in enumerate(word_arrays)
-    ])
-    exploded = (
-        df.repartition(key)
-        .select(key, *others, F.inline(tagged))
-        .select(key, *others, "_part", F.posexplode_outer("_words").alias("_pos", "_token"))
+    entry = F.struct("token", "id")
+    filled = vocab.select(_slot("token").alias("slot"), entry.alias("entry"))
+    empty = vocab.sparkSession.range(SLOTS).select(
+        F.col("id").cast("int").alias("slot"), F.lit(None).cast(filled.schema["entry"].dataType).alias("entry")
     )
-    lookup = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
-    found = exploded.join(F.broadcast(lookup), "_token", "left")
-    entry = F.when(
-        F.col("_token").isNotNull(), F.struct("_part", "_pos", F.coalesce("_id", F.lit(UNK)).alias("_id"))
-    )
-    # the other columns follow from the key; as grouping columns they let filters through to the scan
-    grouped = found.groupBy(key, *others).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    ids_of = lambda i: F.transform(
-        F.filter(F.col("_entries"), lambda e: e["_part"] == i), lambda e: e["_id"]
+    slots = filled.unionByName(empty).groupBy("slot").agg(F.collect_list("entry").alias("entries"))
+    in_order = F.array_sort(F.collect_list(F.struct("slot", "entries")))
+    return slots.agg(F.transform(in_order, lambda s: F.map_from_entries(s["entries"])).alias("lookup"))
+
+
+def word_ids(df: DataFrame, word_arrays: list[str], vocab: DataFrame) -> DataFrame:
+    """Replace arrays of words by arrays of ids, unknown words by the UNK id.
+
+    A narrow projection: texts are neither exploded nor shuffled.
+    """
+    find = lambda w: F.coalesce(F.col("_lookup")[_slot(w)][w], F.lit(UNK))
+    # one reference to the lookup, so that Spark folds it into this projection
+    found = F.transform(F.array(*word_arrays), lambda ws: F.transform(ws, find))
+    others = [c for c in df.columns if c not in word_arrays]
+    return (
+        df.withColumn("_lookup", _id_lookup(vocab).scalar())
+        .select(*others, found.alias("_found"))
+        .select(*others, *[F.col("_found")[i].alias(c) for i, c in enumerate(word_arrays)])
     )
-    return grouped.select(key, *others, *[ids_of(i).alias(c) for i, c in enumerate(word_arrays)])
 
 
 def _specials(*ids: int) -> Column:
@@ -96,8 +104,7 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int
     """``key, ids`` (and the ``keep`` columns): BOS, word ids, EOS, at most ``max_length`` long.
 
     By default the finished sequence is cut, which may cost the EOS; ``keep_eos`` cuts the
-    words instead; ``None`` encodes whole texts. Texts are cut to the words that can appear
-    before they are exploded.
+    words instead; ``None`` encodes whole texts. Words that cannot appear are not looked up.
     """
     limit = None if max_length is None else max_length - (2 if keep_eos else 1)
     every = words(F.col(text))
@@ -106,19 +113,17 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int
     sequence = F.concat(_specials(BOS), F.col("ids"), _specials(EOS))
     if max_length is not None:
         sequence = F.slice(sequence, 1, max_length)
-    return word_ids(parts, key, ["ids"], vocab).select(key, *keep, sequence.alias("ids"))
+    return word_ids(parts, ["ids"], vocab).select(key, *keep, sequence.alias("ids"))
 
 
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:
-    """``key, text``: tokens joined by blanks without PAD, BOS and EOS; unknown ids give ``<UNK>``."""
+    """``key, text``: tokens joined by blanks without PAD, BOS and EOS; unknown ids give ``<UNK>``.
+
+    Vocabulary ids are 0, 1, 2, ..., so the tokens in id order are an array indexed by id.
+    """
+    by_id = F.transform(F.array_sort(F.collect_list(F.struct("id", "token"))), lambda e: e["token"])
     shown = F.filter(F.col(ids), lambda i: ~i.isin(PAD, BOS, EOS))
-    exploded = (
-        df.select(key, shown.alias("_ids")).repartition(key)
-        .select(key, F.posexplode_outer("_ids").alias("_pos", "_id"))
+    token = lambda i: F.coalesce(F.get(F.col("_tokens"), i), F.lit(SPECIAL_TOKENS[UNK]))
+    return df.withColumn("_tokens", vocab.agg(by_id).scalar()).select(
+        key, F.array_join(F.transform(shown, token), " ").alias("text")
     )
-    lookup = vocab.select(F.col("id").alias("_id"), F.col("token").alias("_token"))
-    found = exploded.join(F.broadcast(lookup), "_id", "left")
-    token = F.coalesce("_token", F.lit(SPECIAL_TOKENS[UNK])).alias("_token")
-    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", token))
-    tokens = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_token"])
-    return found.groupBy(key).agg(F.array_join(tokens, " ").alias("text"))

@@ -151,3 +151,17 @@ def test_prepared_texts(spark):
     counts = {r["split"]: r["count"] for r in prepared.examples.groupBy("split").count().collect()}
     assert counts == {"train": 40, "val": 10}
     assert prepared.vocab.agg(F.sum("count")).collect()[0][0] == 40
+
+
+def test_encoding_is_one_narrow_projection(spark, texts):
+    from parlance.session import freeze
+
+    vocab = freeze(vocabulary.build_vocab(texts, "text"))
+    flat = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = vocabulary.encode(flat, "doc_id", "text", vocab)._jdf.queryExecution().optimizedPlan().toString()
+    main = plan.split("Subquery")[0]
+    assert "_lookup" not in main and "Exchange" not in main
+    sequences = pairs.sft_sequences(
+        flat.withColumn("r", F.col("source")), "doc_id", "text", "r", vocabulary.with_separator(vocab)
+    )
+    assert "AS _lookup" not in sequences._jdf.queryExecution().optimizedPlan().toString()
