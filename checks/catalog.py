@@ -511,7 +511,7 @@ def _(v):
 
 def _sft_sequences(v: Views, **options) -> DataFrame:
     return pairs.sft_sequences(
-        v.turns(), "pair_id", "context", "response", freeze(vocabulary.with_separator(_vocab(v))), **options
+        v.turns(), "pair_id", "context", "response", vocabulary.with_separator(freeze(_vocab(v))), **options
     )
 
 

@@ -20,20 +20,20 @@ class Views:
         self.spark, self.folder = spark, folder
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-    def table(self, name: str, spread: bool = False) -> DataFrame:
-        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", spread)
+    def table(self, name: str, spread_by: str | None = None) -> DataFrame:
+        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", spread_by)
 
     def documents(self) -> DataFrame:
         """For the text-heavy queries."""
-        return self.table("documents", spread=True)
+        return self.table("documents", "doc_id")
 
     # conversation tables: one generated record per order, per event
     def train(self) -> DataFrame:
-        keys = self.table("orders", spread=True).select(F.col("o_orderkey").alias("id"))
+        keys = self.table("orders", "o_orderkey").select(F.col("o_orderkey").alias("id"))
         return conv.generate(keys, "id", conv.TRAINING)
 
     def prod(self) -> DataFrame:
-        keys = self.table("events", spread=True).select(F.col("event_id").alias("id"))
+        keys = self.table("events", "event_id").select(F.col("event_id").alias("id"))
         return conv.generate(keys, "id", conv.PRODUCTION)
 
     def dirty(self) -> DataFrame:

@@ -13,14 +13,18 @@ IGNORE = -100  # fixed value: target id that losses skip
 
 
 def next_token_pairs(df: DataFrame, ids: str = "ids") -> DataFrame:
-    """Input and target shifted by one token; sequences of a single token give no example."""
+    """Input and target shifted by one token; sequences of a single token give no example.
+
+    Written as a generator of at most one row. A filter on the length would be pushed down
+    and make Spark compute an encoded sequence twice.
+    """
     length = F.size(ids)
-    return (
-        df.where(length > 1)
-        .withColumn("input_ids", F.slice(F.col(ids), F.lit(1), length - 1))
-        .withColumn("target_ids", F.slice(F.col(ids), F.lit(2), length - 1))
-        .drop(ids)
+    example = F.struct(
+        F.slice(F.col(ids), F.lit(1), length - 1).alias("input_ids"),
+        F.slice(F.col(ids), F.lit(2), length - 1).alias("target_ids"),
     )
+    others = [c for c in df.columns if c != ids]
+    return df.select(*others, F.inline(F.when(length > 1, F.array(example))))
 
 
 def pad_batches(df: DataFrame, key: str, sequences: dict[str, int], batch_size: int = 32, seed: int = 42,

@@ -14,8 +14,8 @@ _DIALECT = {
 }
 
 
-def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
-    """Read a table; ``spread`` deals its rows out if the files offer too few splits.
+def read_parquet(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+    """Read a table; ``spread_by`` deals its rows out by that key if the files offer too few splits.
 
     A row group is the smallest unit of a scan. A small file with one row group keeps all
     other cores idle, which matters before expensive text expressions. Tables with at
@@ -23,8 +23,8 @@ def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFr
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < 2 * cores:
-        return df.repartition(cores)
+    if spread_by is not None and df.rdd.getNumPartitions() < 2 * cores:
+        return df.repartition(cores, spread_by)
     return df
 
 
