@@ -245,7 +245,7 @@ def _(v):
     return cleaning.fix_invalid_timestamps(v.dirty())
 
 
-@query("drop_missing", with_(["docs_labeled"], "SELECT * FROM docs_labeled WHERE quality IS NOT NULL AND toxic IS NOT NULL"))
+@query("drop_missing", with_(["docs_labeled"], f"SELECT * FROM docs_labeled WHERE {_DL_MISSING} = 0"))
 def _(v):
     return cleaning.handle_missing(v.docs_labeled(), "drop")
 
@@ -387,7 +387,8 @@ def _(v):
 @query("pad_batches", with_(["padded"], f"SELECT doc_id, batch_id, {_SEQ('input_ids')}, {_SEQ('target_ids')} FROM padded"))
 def _(v):
     padded = batching.pad_language_batches(
-        batching.next_token_pairs(_encoded(v)), "doc_id", keys=v.table("documents").select("doc_id")
+        batching.next_token_pairs(_encoded(v)), "doc_id",
+        keys=v.table("documents").where(F.col("text").isNotNull()).select("doc_id"),
     )
     return padded.select("doc_id", "batch_id", joined("input_ids"), joined("target_ids"))
 
@@ -710,7 +711,8 @@ def _(v):
     from parlance.functions.hashing import uniform
 
     padded = batching.pad_language_batches(
-        batching.next_token_pairs(_encoded(v)), "doc_id", keys=v.table("documents").select("doc_id")
+        batching.next_token_pairs(_encoded(v)), "doc_id",
+        keys=v.table("documents").where(F.col("text").isNotNull()).select("doc_id"),
     )
     tokens = padded.select("doc_id", "batch_id", F.posexplode("target_ids").alias("pos", "target"))
     nll = -F.ln(uniform("nll", F.col("doc_id"), F.col("pos")) * 0.9 + 0.05)

@@ -37,19 +37,24 @@ def hash_rank(df: DataFrame, key: str, seed: int = 42, name: str = "rank",
     """Add the exact 0-based global position in seeded hash order (a reproducible shuffle).
 
     The bucket counts need a pass of their own. If ``df`` is expensive to compute, pass as
-    ``keys`` a table that holds exactly the same keys and is cheap to scan.
+    ``keys`` a table that holds exactly the same keys and is cheap to scan; a bucket whose
+    rows differ in number from its count stops the job.
     """
     h = digest(seed, F.col(key))
     hashed = df.withColumn("_h", h).withColumn("_b", hash_bucket(F.col("_h"), HEX_DIGITS))
     counted = (df if keys is None else keys).select(hash_bucket(h, HEX_DIGITS).alias("_b"))
     offsets = _running_offsets(counted.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")), "_b", "_n")
-    inside = Window.partitionBy("_b").orderBy("_h", key)
-    return (
-        hashed.withColumn("_i", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets.select("_b", "offset")), "_b")  # at most 65,536 rows
-        .withColumn(name, F.col("offset") + F.col("_i"))
-        .select(*df.columns, name)
+    bucket = Window.partitionBy("_b")
+    placed = (
+        hashed.withColumn("_i", F.row_number().over(bucket.orderBy("_h", key)) - 1)
+        .withColumn("_rows", F.lit(None) if keys is None else F.count(F.lit(1)).over(bucket))
+        .join(F.broadcast(offsets), "_b", "left")  # at most 65,536 rows
     )
+    rank = F.col("offset") + F.col("_i")
+    if keys is not None:
+        same = F.col("_rows") == F.col("_n")
+        rank = F.when(same, rank).otherwise(F.raise_error(F.lit("keys holds other rows than the table")))
+    return placed.withColumn(name, rank).select(*df.columns, name)
 
 
 def split_size(total: Column, ratio: float) -> Column:

@@ -12,8 +12,12 @@ from parlance.functions.text import words
 
 
 def hashed_counts(df: DataFrame, text: str, dimensions: int = 1 << 14) -> DataFrame:
-    """Add the sparse word-count vector ``features``; a fixed width, no vocabulary pass."""
-    tokens = df.withColumn("_words", words(F.col(text)))
+    """Add the sparse word-count vector ``features``; a fixed width, no vocabulary pass.
+
+    A missing text counts as one without words.
+    """
+    none = F.array().cast("array<string>")
+    tokens = df.withColumn("_words", F.coalesce(words(F.col(text)), none))
     return HashingTF(inputCol="_words", outputCol="features", numFeatures=dimensions).transform(tokens).drop("_words")
 
 

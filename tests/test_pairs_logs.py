@@ -178,3 +178,8 @@ def test_scorer_separates_clear_cases(spark):
     scored = scorer.preference_scores(df.where("id < 300"), df.where("id >= 300"), dimensions=1 << 10)
     assert scored.count() == 100
     assert trainlog.preference_accuracy(scored).collect()[0]["accuracy"] >= trainlog.ACCURACY_TARGET
+
+
+def test_scorer_keeps_missing_texts(spark):
+    df = spark.createDataFrame([("good", 1.0), ("bad", 0.0), (None, 1.0), (None, 0.0)], "text string, label double")
+    assert scorer.preference_scores(df, df, dimensions=16).count() == 4
