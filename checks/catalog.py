@@ -398,7 +398,7 @@ def _(v):
           FROM (SELECT *, (row_number() OVER (ORDER BY doc_id)-1)//32 AS batch_id FROM ntp))"""))
 def _(v):
     examples = batching.next_token_pairs(_encoded(v)).drop("target_ids")
-    padded = batching.pad_batches(examples, "doc_id", {"input_ids": 0}, order=[F.col("doc_id")])
+    padded = batching.pad_batches(examples, "doc_id", {"input_ids": 0}, order=[("doc_id", True)])
     return padded.select("doc_id", "batch_id", joined("input_ids"))
 
 
@@ -416,7 +416,7 @@ def _(v):
     <= floor((SELECT count(*) FROM sft)*0.8::DOUBLE) THEN 'train' ELSE 'val' END AS split FROM sft"""))
 def _(v):
     scored = v.sft().select("id", "quality_score")
-    return ranking.ordered_split(scored, [F.desc("quality_score"), F.asc("id")])
+    return ranking.ordered_split(scored, [("quality_score", False), ("id", True)])
 
 
 @query("hash_rank", "SELECT o_orderkey, row_number() OVER (ORDER BY md5('42:'||o_orderkey), o_orderkey)-1 AS rank FROM orders")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parlance.operators.ranking import hash_rank, ordered_rank
+from parlance.operators.ranking import Order, hash_rank, ordered_rank
 from parlance.operators.vocabulary import PAD
 
 IGNORE = -100  # fixed value: target id that losses skip
@@ -28,7 +28,7 @@ def next_token_pairs(df: DataFrame, ids: str = "ids") -> DataFrame:
 
 
 def pad_batches(df: DataFrame, key: str, sequences: dict[str, int], batch_size: int = 32, seed: int = 42,
-                order: list[Column] | None = None, keys: DataFrame | None = None) -> DataFrame:
+                order: Order | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Number batches of ``batch_size`` rows and pad arrays to the longest first array of the batch.
 
     ``sequences`` maps each array column to its padding id; the first one sets the length.

@@ -9,7 +9,7 @@ from parlance.functions.arithmetic import clip
 from parlance.functions.hashing import digest, standard_normal, uniform
 from parlance.functions.text import fill_template, labelled_context, words
 from parlance.operators.batching import IGNORE
-from parlance.operators.ranking import ordered_rank
+from parlance.operators.ranking import among_first
 from parlance.operators.vocabulary import BOS, EOS, MAX_LENGTH, SEP_TOKEN, word_ids
 
 # Response templates by sentiment, products by category, quality phrases.
@@ -108,8 +108,7 @@ def top_n_label(df: DataFrame, key: str, score: str = "quality_score", n: int =
     The cut-off row is found first; flagging is then a comparison, without a join.
     """
     if n > HEAP_LIMIT:
-        ranked = ordered_rank(df, [F.desc(score), F.asc(key)], "_rank")
-        return ranked.withColumn(name, F.col("_rank") < F.lit(n)).drop("_rank")
+        return df.withColumn(name, among_first(df, [(score, False), (key, True)], lambda total: F.lit(n)))
     place = lambda: F.struct((-F.col(score)).alias("s"), F.col(key).alias("k"))
     best = df.select(score, key).orderBy(F.desc(score), key).limit(n)
     return df.withColumn(name, F.coalesce(place() <= best.agg(F.max(place())).scalar(), F.lit(False)))
@@ -168,7 +167,7 @@ def preference_pairs(df: DataFrame, key: str, context: str = "context", response
         F.col(response).alias("response"), F.col(score).cast("double").alias("score"),
     )
     return (
-        rows.groupBy(context).agg(
+        rows.where(side.isNotNull()).groupBy(context).agg(
             F.min(F.when(side == "good", candidate)).alias("g"),
             F.min(F.when(side == "bad", candidate)).alias("b"),
         )

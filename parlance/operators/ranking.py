@@ -14,6 +14,8 @@ Hash order assumes that ``key`` is unique; rows that share a key stay together.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +23,8 @@ from pyspark.sql.window import Window
 from parlance.functions.hashing import digest, hash_bucket, uniform
 from parlance.session import ensure_checkpoint_dir
 
+Order = list[tuple[str, bool]]  # (column, ascending)
+
 HEX_DIGITS = 4  # 65,536 buckets: offsets stay below a few MB, a bucket is 1/65,536 of the rows
 IN_MEMORY_VALUES = 100_000  # distinct values one task may hold for a percentile
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in 33 bits
@@ -120,9 +124,16 @@ def sorted_chunks(df: DataFrame, order: list[Column], keep: list[Column | str])
     )
 
 
-def ordered_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """Add the exact 0-based global position in a given (unique) order."""
-    chunks = sorted_chunks(df, order, list(df.columns))
+def _sort_columns(order: Order) -> list[Column]:
+    return [F.col(c).asc() if ascending else F.col(c).desc() for c, ascending in order]
+
+
+def ordered_rank(df: DataFrame, order: Order, name: str = "rank") -> DataFrame:
+    """Add the exact 0-based global position in a given (unique) order.
+
+    The sorted rows are written once: pass only the columns that are needed.
+    """
+    chunks = sorted_chunks(df, _sort_columns(order), list(df.columns))
     counts = chunks.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _running_offsets(counts, "_pid", "_n").select("_pid", "offset")
     return (
@@ -132,14 +143,35 @@ def ordered_rank(df: DataFrame, order: list[Column], name: str = "rank") -> Data
     )
 
 
-def ordered_split(df: DataFrame, order: list[Column], ratio: float = 0.8, name: str = "split") -> DataFrame:
+def among_first(df: DataFrame, order: Order, size: Callable[[Column], Column]) -> Column:
+    """Whether a row of ``df`` is among the first ``size(row count)`` of a given (unique, non-null) order.
+
+    Only the order columns are sorted and written. They give the last row inside, and every
+    row is then compared with it where it is: the table itself is not shuffled.
+    """
+    names = [c for c, _ in order]
+    chunks = sorted_chunks(df.select(*names), _sort_columns(order), names)
+    whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = chunks.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
+    at = (
+        _running_offsets(counts, "_pid", "_n")
+        .withColumn("_total", F.sum("_n").over(whole))
+        .withColumn("_last", F.least(size(F.col("_total")), F.col("_total")) - 1)
+        .where((F.col("offset") <= F.col("_last")) & (F.col("_last") < F.col("offset") + F.col("_n")))
+        .select("_pid", (F.col("_last") - F.col("offset")).alias("_pos"))
+    )
+    last = chunks.join(F.broadcast(at), ["_pid", "_pos"]).select(F.struct(*names)).scalar()
+    inside = F.lit(True)
+    for c, ascending in reversed(order):
+        before = F.col(c) < last[c] if ascending else F.col(c) > last[c]
+        inside = before | ((F.col(c) == last[c]) & inside)
+    return F.coalesce(inside, F.lit(False))
+
+
+def ordered_split(df: DataFrame, order: Order, ratio: float = 0.8, name: str = "split") -> DataFrame:
     """Label the first ``int(n * ratio)`` rows of a given (unique) order 'train', the rest 'val'."""
-    ranked = ordered_rank(df, order, "_rank")
-    # the ranks come from checkpointed files, so counting them is a metadata-cheap scan
-    size = ranked.agg(split_size(F.count(F.lit(1)), ratio))
-    return ranked.withColumn(
-        name, F.when(F.col("_rank") < size.scalar(), F.lit("train")).otherwise(F.lit("val"))
-    ).drop("_rank")
+    first = among_first(df, order, lambda total: split_size(total, ratio))
+    return df.withColumn(name, F.when(first, F.lit("train")).otherwise(F.lit("val")))
 
 
 def number_turns(df: DataFrame, group: str, order: list[str], name: str = "turn") -> DataFrame:

@@ -45,13 +45,20 @@ def test_ordered_rank_and_split_with_ties(spark):
     data = [(i, 1.0 if i % 3 == 0 else float((i * 37) % 101)) for i in range(999)]
     df = spark.createDataFrame(data, "id long, score double").repartition(9)
     want = [i for i, _ in sorted(data, key=lambda x: (-x[1], x[0]))]
-    order = [F.desc("score"), F.asc("id")]
+    order = [("score", False), ("id", True)]
     ranks = {r["id"]: r["rank"] for r in ranking.ordered_rank(df, order).collect()}
     assert ranks == {i: n for n, i in enumerate(want)}
     train = {r["id"] for r in ranking.ordered_split(df, order).where("split = 'train'").collect()}
     assert train == set(want[: int(999 * 0.8)])
 
 
+@pytest.mark.parametrize("n", [0, 1, 5])
+def test_ordered_split_of_small_tables(spark, n):
+    split = ranking.ordered_split(spark.range(n), [("id", True)], 0.5)
+    assert sorted(r["id"] for r in split.where("split = 'train'").collect()) == list(range(n // 2))
+    assert split.count() == n
+
+
 def test_number_turns_with_a_hot_group(spark):
     data = [(0 if i % 3 == 0 else i % 50 + 1, (i * 7919) % 3001) for i in range(3000)]
     df = spark.createDataFrame(data, "g long, t long").repartition(11)

@@ -92,7 +92,7 @@ def test_batches(spark, partitions):
     assert sorted(map(repr, cheap)) == sorted(map(repr, got))
     with pytest.raises(Exception, match="keys holds other rows"):
         batching.pad_response_batches(df, "id", keys=spark.range(400).select((F.col("id") % 103).alias("id"))).collect()
-    ordered = batching.pad_batches(df, "id", {"input_ids": 0}, 10, order=[F.col("id")]).collect()
+    ordered = batching.pad_batches(df, "id", {"input_ids": 0}, 10, order=[("id", True)]).collect()
     assert all(r["batch_id"] == r["id"] // 10 for r in ordered)
 
 
