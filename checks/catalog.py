@@ -40,7 +40,7 @@ def query(name: str, sql: str | None = None):
 
 def rnd(column: Column | str, digits: int = 6) -> Column:
     col = F.col(column) if isinstance(column, str) else column
-    return F.round(col + F.lit(1e-9), digits)
+    return F.round(col + F.lit(3.71828e-11), digits)
 
 
 def joined(column: str) -> Column:
@@ -599,7 +599,7 @@ def _(v):
     return returns.select("event_id", rnd("discounted_return").alias("discounted_return"))
 
 
-@query("satisfaction_gain", """SELECT event_id, round(value - coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY event_id), 0) + 1e-9::DOUBLE, 6) AS gain
+@query("satisfaction_gain", """SELECT event_id, round(value - coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY event_id), 0) + 3.71828e-11::DOUBLE, 6) AS gain
     FROM events""")
 def _(v):
     numbered = ranking.number_turns(v.table("events").select("event_id", "user_id", "value"), "user_id", ["event_id"])
@@ -607,7 +607,7 @@ def _(v):
     return gains.select("event_id", rnd(F.col("value") - F.col("before")).alias("gain"))
 
 
-@query("state_features", with_(["featured"], "SELECT event_id, unnest(range(0,10))::INT AS i, round(unnest(features) + 1e-9::DOUBLE, 6) AS x FROM featured"))
+@query("state_features", with_(["featured"], "SELECT event_id, unnest(range(0,10))::INT AS i, round(unnest(features) + 3.71828e-11::DOUBLE, 6) AS x FROM featured"))
 def _(v):
     return v.steps().select("event_id", F.posexplode(trajectory.state_features()).alias("i", "x")).withColumn("x", rnd("x"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parlance.functions.hashing import standard_normal, uniform
 from parlance.operators import pairs, trajectory
 from parlance.operators.ranking import number_turns
-from parlance.operators.sequences import best_before, previous_value
+from parlance.operators.sequences import previous_value
 from parlance.sources import conversations as conv
 from parlance.sources.files import read_parquet
 
@@ -99,10 +99,7 @@ class Views:
 
     def episodes(self) -> DataFrame:
         """Steps up to the first terminal one."""
-        flagged = self.steps().withColumn("ends", self.terminal().cast("int"))
-        return best_before(flagged, "episode", "turn", "ends", "ended", max_turns=10).where(
-            F.coalesce("ended", F.lit(0)) == 0
-        )
+        return trajectory.until_terminal(self.steps(), self.terminal(), max_turns=10)
 
     def train_log(self) -> DataFrame:
         e = self.table("events").select(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions.arithmetic import dot
-from parlance.operators.sequences import discounted_returns
+from parlance.operators.sequences import best_before, discounted_returns
 
 # Action names by id, rule tables, reward weights, feature names.
 ACTION_NAMES = [
@@ -111,6 +111,13 @@ def is_terminal(turn_after: Column, purchased: Column, escalated: Column, satisf
     return (turn_after >= max_turns) | purchased | escalated | (satisfaction_after < F.lit(LEAVES_BELOW))
 
 
+def until_terminal(steps: DataFrame, ends: Column, max_turns: int | None = None) -> DataFrame:
+    """The steps of each episode up to its first terminal one."""
+    flagged = steps.withColumn("_ends", ends.cast("int"))
+    earlier = best_before(flagged, "episode", "turn", "_ends", "_ended", max_turns=max_turns)
+    return earlier.where(F.coalesce("_ended", F.lit(0)) == 0).drop("_ends", "_ended")
+
+
 def state_features() -> Column:
     """The ten features of the state before the step; segment 'new' is all zeros."""
     one = lambda c: F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))

@@ -112,6 +112,15 @@ def test_policy_metrics_on_a_hand_made_log(spark):
     assert [first[c] for c in ("avg_reward", "purchase_rate", "escalation_rate")] == pytest.approx([0.1, 0.0, 1 / 3])
 
 
+@pytest.mark.parametrize("options", [{}, {"max_turns": 10}])
+def test_steps_after_the_end_are_dropped(spark, options):
+    data = [(0, t, t in (2, 4)) for t in range(6)] + [(1, t, False) for t in range(3)]
+    df = spark.createDataFrame(data, "episode long, turn int, e boolean").repartition(4)
+    got = trajectory.until_terminal(df, F.col("e"), **options)
+    assert sorted((r["episode"], r["turn"]) for r in got.collect()) == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2)]
+    assert got.columns == ["episode", "turn", "e"]
+
+
 def test_features(spark):
     df = spark.createDataFrame([step(turn=3, segment="vip", category="Electronics", before=0.8), step(segment="new", category="Sports", issue=True, price=True, before=0.3, turn=1)], STEP)
     got = [r[0] for r in df.select(trajectory.state_features()).collect()]
