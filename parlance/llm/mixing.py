@@ -61,6 +61,11 @@ def rate(size: Column, tilt: Column, mean: Column, cap: float) -> Column:
     return F.exp(F.least(tilt * size / mean, F.lit(math.log(cap))))
 
 
+def _sum(terms: Column) -> Column:
+    """A sum that does not depend on the order of its terms, so that reruns agree to the last bit."""
+    return F.sum(terms.cast("decimal(38,6)")).cast("double")
+
+
 def solve_tilts(counts: DataFrame, targets: DataFrame, cap: float = 2.0, max_steps: int = 60) -> DataFrame:
     """Newton steps, guarded by a bracket, on the dual of every source; ends when all sources meet their targets.
 
@@ -88,7 +93,7 @@ def solve_tilts(counts: DataFrame, targets: DataFrame, cap: float = 2.0, max_ste
         words = F.col("n") * F.col("size") * rate(F.col("size"), F.col("tilt"), F.col("mean"), cap)
         free = F.col("tilt") * x < F.lit(math.log(cap))
         sums = _same_source(counts, state.where("NOT done").select("source", "mean", "tilt")).groupBy("source").agg(
-            F.sum(words).alias("words"), F.sum(F.when(free, words * x).otherwise(0.0)).alias("slope"))
+            _sum(words).alias("words"), _sum(F.when(free, words * x).otherwise(0.0)).alias("slope"))
         step = _same_source(state, sums, "left").withColumns({
             "excess": F.col("words") - F.col("target"),
         }).withColumns({
