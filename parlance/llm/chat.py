@@ -83,35 +83,29 @@ def linear_threads(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", r
         "conv", "role", "text", "score")
 
 
-def _doubled(messages: DataFrame, max_rounds: int) -> list[DataFrame]:
-    """Tables (node, up, steps, sum): table k leads 2^k replies up, or to NULL beyond the root, with what lies on the way.
+def _doubled(messages: DataFrame, max_rounds: int) -> tuple[list[DataFrame], DataFrame]:
+    """Tables (node, up) that lead 2^k replies up, and (node, steps, sum, root) of every node's whole path.
 
+    A node leaves the rounds when it has reached its root, so later rounds hold only the deep threads.
     A parent that is not in the table makes its reply a root.
     """
     nodes = written(messages.select("node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "messages")
     known = nodes.select(F.col("node").alias("up"))
-    table = written(nodes.join(known, F.col("parent") == F.col("up"), "left").select(
-        "node", "up", F.lit(1).cast("bigint").alias("steps"), F.col("score").alias("sum")), "replies")
-    tables = [table]
-    while not table.where("up IS NOT NULL").isEmpty():
+    step = written(nodes.join(known, F.col("parent") == F.col("up"), "left").select(
+        "node", "up", F.lit(1).cast("bigint").alias("steps"), F.col("score").alias("sum"), F.col("node").alias("root")), "replies")
+    tables, finished = [], step.where("up IS NULL")
+    while True:
+        active = step.where("up IS NOT NULL")
+        if active.isEmpty():
+            return tables, finished.drop("up")
         if len(tables) > max_rounds:
             raise ValueError("replies form a circle")
-        above = table.select(F.col("node").alias("mid"), F.col("up").alias("up_"), F.col("steps").alias("steps_"), F.col("sum").alias("sum_"))
-        table = written(table.join(above, F.col("up") == F.col("mid"), "left").select(
-            "node", F.col("up_").alias("up"),
-            (F.col("steps") + F.coalesce("steps_", F.lit(0))).alias("steps"),
-            (F.col("sum") + F.coalesce("sum_", F.lit(0.0))).alias("sum")), "replies")
-        tables.append(table)
-    return tables
-
-
-def _roots(tables: list[DataFrame]) -> DataFrame:
-    """(node, root): from far to near, each node goes up as far as the table allows."""
-    at = tables[0].select("node", F.col("node").alias("root"))
-    for table in reversed(tables):
-        up = table.where("up IS NOT NULL").select(F.col("node").alias("from"), "up")
-        at = at.join(up, F.col("root") == F.col("from"), "left").select("node", F.coalesce("up", "root").alias("root"))
-    return at
+        tables.append(active.select("node", "up"))
+        above = finished.unionByName(active).selectExpr("node AS mid", "up AS up_", "steps AS steps_", "sum AS sum_", "root AS root_")
+        step = written(active.join(above, F.col("up") == F.col("mid")).select(
+            "node", F.col("up_").alias("up"), (F.col("steps") + F.col("steps_")).alias("steps"),
+            (F.col("sum") + F.col("sum_")).alias("sum"), F.col("root_").alias("root")), "replies")
+        finished = finished.unionByName(step.where("up IS NULL"))
 
 
 def best_paths(messages: DataFrame, n_best: int = 1, max_rounds: int = 40) -> DataFrame:
@@ -120,15 +114,15 @@ def best_paths(messages: DataFrame, n_best: int = 1, max_rounds: int = 40) -> Da
     Messages have node (unique), parent and score, NULL counting as 0. Branches of a tree are ranked by
     the mean score of their messages, then by leaf. Replies in a circle are an error.
     """
-    tables = _doubled(messages, max_rounds)
-    parents = tables[0].where("up IS NOT NULL").select(F.col("up").alias("node")).distinct()
-    leaves = tables[-1].select("node", (F.col("sum") / F.col("steps")).alias("mean")).join(parents, "node", "left_anti")
-    leaves = leaves.join(_roots(tables), "node")
+    tables, whole = _doubled(messages, max_rounds)
+    leaves = whole.select("node", "root", (F.col("sum") / F.col("steps")).alias("mean"))
+    if tables:
+        leaves = leaves.join(tables[0].select(F.col("up").alias("node")).distinct(), "node", "left_anti")
     rank = F.row_number().over(W.partitionBy("root").orderBy(F.desc("mean"), "node"))
     chosen = written(leaves.withColumn("rank", rank).where(F.col("rank") <= n_best), "leaves")
     members = chosen.select("root", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("bigint").alias("height"))
     for k in reversed(range(len(tables))):  # every height is one sum of powers of two, so no message comes twice
-        up = tables[k].where("up IS NOT NULL").select(F.col("node").alias("from"), "up")
+        up = tables[k].select(F.col("node").alias("from"), "up")
         higher = members.join(up, F.col("node") == F.col("from")).select(
             "root", "leaf", "rank", F.col("up").alias("node"), (F.col("height") + (1 << k)).alias("height"))
         members = written(members.unionAll(higher), "paths")
