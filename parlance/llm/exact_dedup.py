@@ -110,13 +110,16 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """The input's rows and columns without repeated texts; the rules are those of ``mark_duplicates``."""
-    groups, bitmaps, blocks = _repeated_groups(_digests(docs, id_col, text_col), max_blocks)
-    rows = packed(docs, id=column(id_col).cast("bigint"), sha=digest(column(text_col)))
+    digests = _digests(docs, id_col, text_col)
+    groups, bitmaps, blocks = _repeated_groups(digests, max_blocks)
+    # The rows that go, by digest and id: together they spread a hot group over all tasks.
+    known = F.coalesce(F.col("id"), F.lit(-(2**63)))
+    gone = written(digests.join(groups, "sha").where("NOT id <=> keep_id").select("sha", known.alias("known")).distinct(), "gone")
+    rows = packed(docs, id=column(id_col).cast("bigint"), sha=digest(column(text_col))).withColumn("known", known)
     marked = with_possibly_repeated(rows, bitmaps, blocks)
     unique = unpacked(marked.where("NOT possibly_repeated"))
     kept = (
-        marked.where("possibly_repeated").join(groups, "sha", "left")
-        .where("group_size IS NULL OR id <=> keep_id")
-        .dropDuplicates(["sha"])  # only rows that share id and text are left to choose from
+        marked.where("possibly_repeated").join(gone, ["sha", "known"], "left_anti")
+        .dropDuplicates(["sha", "known"])  # only rows that share id and text are left to choose from
     )
     return unique.unionByName(unpacked(kept))
