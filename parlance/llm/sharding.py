@@ -23,7 +23,7 @@ from parlance.llm.common import column, packed, written
 DIGIT_BITS = 12
 KEY_BITS = 128
 TOLERANCE = 0.001
-ROWS_PER_PART = 16384
+ROWS_PER_PART = 4096
 _SIGN = 1 << 63
 
 
