@@ -66,7 +66,7 @@ def _(v: Views) -> DataFrame:
     docs = v.table("documents")
     path = f"{v.spark.sparkContext.getCheckpointDir()}/csv-{uuid.uuid4().hex}"
     files.write_csv(docs, path)
-    return files.read_csv(v.spark, path, docs.schema)
+    return files.read_csv(v.spark, path, docs.schema, multi_line=True)
 
 
 @query("synth_train", with_(["train"], "SELECT * FROM train"))
@@ -258,7 +258,7 @@ def _(v):
     return cleaning.handle_missing(v.dirty(), "impute")
 
 
-@query("impute_numeric", with_(["docs_labeled"], """SELECT doc_id::DOUBLE AS doc_id, n_chars::DOUBLE AS n_chars,
+@query("impute_numeric", with_(["docs_labeled"], """SELECT doc_id, n_chars,
     coalesce(quality::DOUBLE, (SELECT median(quality) FROM labels)) AS quality,
     coalesce(toxic::DOUBLE, (SELECT median(toxic) FROM labels)) AS toxic FROM docs_labeled"""))
 def _(v):
@@ -267,7 +267,7 @@ def _(v):
 
 @query("exact_median", f"""SELECT {r('median(o_totalprice)')} AS median FROM orders""")
 def _(v):
-    return ranking.median_of(v.table("orders"), "o_totalprice", in_memory=1000).select(rnd("median").alias("median"))
+    return ranking.median_of(v.table("orders"), "o_totalprice").select(rnd("median").alias("median"))
 
 
 @query("non_null_texts", with_(["dirty"], "SELECT conversation_text FROM dirty WHERE conversation_text IS NOT NULL"))
@@ -595,7 +595,7 @@ def _(v):
 def _(v):
     rewards = v.table("events").select("event_id", "user_id", (F.col("value") / 100.0).alias("reward"))
     numbered = ranking.number_turns(rewards, "user_id", ["event_id"])
-    returns = sequences.discounted_returns(numbered, "user_id", "turn", "reward", chunk=16)
+    returns = sequences.discounted_returns(numbered, "user_id", "turn", "reward")
     return returns.select("event_id", rnd("discounted_return").alias("discounted_return"))
 
 
@@ -639,7 +639,7 @@ def _(v):
     return trajectory.fit_value_weights(_training_set(v))
 
 
-THETA = [-0.25, 0.02, -0.01, 0.39, 0.38, 0.37, 0.42, -0.02, 0.01, -0.06]
+THETA = [(i + 1) / 8 if i % 2 else -(i + 1) / 16 for i in range(10)]  # any weights do
 _DOT = " + ".join(f"features[{i + 1}]*({w}::DOUBLE)" for i, w in enumerate(THETA))
 
 
@@ -757,7 +757,7 @@ def _(v):
 
 
 def _model(v: Views) -> DataFrame:
-    return nextword.bigram_model(_encoded(v), vocabulary.VOCAB_SIZE)
+    return nextword.bigram_model(_encoded(v, max_length=None), vocabulary.VOCAB_SIZE)
 
 
 @query("bigram_model", with_(["model"], f"SELECT prev, next, n, prev_n, {r('probability', 8)} AS probability FROM model"))
@@ -768,13 +768,13 @@ def _(v):
 @query("bigram_perplexity", with_(["model"], f"""SELECT doc_id, count(*) AS tokens, {r('avg(-ln(probability))')} AS nll,
     {r('exp(avg(-ln(probability)))', 3)} AS perplexity FROM tokenpairs JOIN model USING (prev, next) GROUP BY doc_id"""))
 def _(v):
-    encoded = vocabulary.encode(v.documents(), "doc_id", "text", freeze(_vocab(v)))
+    encoded = vocabulary.encode(v.documents(), "doc_id", "text", freeze(_vocab(v)), max_length=None)
     model = freeze(nextword.bigram_model(encoded, vocabulary.VOCAB_SIZE))
     scored = nextword.sequence_perplexity(encoded, "doc_id", model, vocabulary.VOCAB_SIZE)
     return scored.withColumns({"nll": rnd("nll"), "perplexity": rnd("perplexity", 3)})
 
 
-@query("validation_perplexity", _with_kl(["trainids", "splitdocs"], """vseq AS (SELECT key AS doc_id, list_slice([2]||ids||[3], 1, 256) AS ids FROM trainids),
+@query("validation_perplexity", _with_kl(["trainids", "splitdocs"], """vseq AS (SELECT key AS doc_id, [2]||ids||[3] AS ids FROM trainids),
     vp AS (SELECT doc_id, unnest(list_slice(ids,1,len(ids)-1)) AS prev, unnest(list_slice(ids,2,len(ids))) AS next FROM vseq),
     sp AS (SELECT prev, next, split FROM vp JOIN splitdocs USING (doc_id)),
     pm AS (SELECT prev, next, count(*) AS n FROM sp WHERE split='train' GROUP BY ALL),
@@ -783,7 +783,7 @@ def _(v):
     SELECT -ln((coalesce(n,0)+0.1::DOUBLE)/(coalesce(m,0)+500::DOUBLE)) AS c FROM sp LEFT JOIN pm USING (prev, next) LEFT JOIN pt USING (prev)
     WHERE split='val')"""))
 def _(v):
-    examples = prepare_texts(v.documents(), "doc_id", "text").examples
+    examples = prepare_texts(v.documents(), "doc_id", "text", max_length=None).examples
     # examples are already shifted; the sequence is the input plus the last target
     ids = F.concat("input_ids", F.slice("target_ids", -1, 1)).alias("ids")
     part = lambda name: examples.where(F.col("split") == name).select("doc_id", ids)

@@ -137,7 +137,7 @@ FEATURE_SQL = """[satisfaction, (customer_segment='vip')::INT::DOUBLE, (customer
 CTES: dict[str, tuple[list[str], str]] = {
     "train": ([], _generated("orders", "o_orderkey", 42, "CUST", (0.6, 0.9, 0.97), (0.4, 0.8), (0.3, 0.9), conv.TEXTS)),
     "prod": ([], _generated("events", "event_id", 123, "PROD", (0.25, 0.5, 0.75), (0.33, 0.67), (0.35, 0.9),
-                            ["Production conversation text"])),
+                            ["a message logged in production"])),
     "holes": (["train"], f"SELECT id, {_holes()} FROM train"),
     "copies": (["holes"], f"""SELECT *, unnest(CASE WHEN {u("'42:duplicate:'||id")} < 0.05::DOUBLE THEN [0,1] ELSE [0] END) AS copy_no
       FROM holes"""),
@@ -150,7 +150,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "sft": (["train"], _sft()),
     "docpref": ([], """SELECT doc_id, lang||'|'||source AS context, text AS response, quality
       FROM documents JOIN labels USING (doc_id)"""),
-    "turns": ([], """SELECT conv_id*1000+turn AS pair_id, context, response FROM (
+    "turns": ([], """SELECT conv_id||':'||turn AS pair_id, context, response FROM (
       SELECT conv_id, turn, role, text AS context, lead(role) OVER w AS next_role, lead(text) OVER w AS response,
         lead(turn) OVER w AS next_turn
       FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
@@ -203,7 +203,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "trainvocab": (["trainwords"], vocab("trainwords")),
     "allwords": (["splitdocs"], f"SELECT doc_id AS key, {word_list('text')} AS ws FROM splitdocs"),
     "trainids": (["allwords", "trainvocab"], encoded("allwords", "ws", "trainvocab")),
-    "tokenpairs": (["ntp"], "SELECT doc_id, unnest(input_ids) AS prev, unnest(target_ids) AS next FROM ntp"),
+    "tokenpairs": (["docids"], """SELECT key AS doc_id, unnest([2]||ids) AS prev, unnest(ids||[3]) AS next FROM docids"""),
     "model": (["tokenpairs"], """SELECT prev, next, n, sum(n) OVER (PARTITION BY prev)::BIGINT AS prev_n,
         (n+0.1::DOUBLE)/(sum(n) OVER (PARTITION BY prev)::BIGINT+500::DOUBLE) AS probability
       FROM (SELECT prev, next, count(*) AS n FROM tokenpairs GROUP BY ALL)"""),

@@ -13,6 +13,9 @@ from parlance.sources import conversations as conv
 from parlance.sources.files import read_parquet
 
 
+SPREAD = "spark.parlance.partitions"
+
+
 class Views:
     """Lazy views over one data folder."""
 
@@ -20,20 +23,25 @@ class Views:
         self.spark, self.folder = spark, folder
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
-    def table(self, name: str, spread_by: str | None = None) -> DataFrame:
-        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", spread_by)
+    def table(self, name: str, partitions: int | None = None) -> DataFrame:
+        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", partitions)
+
+    def spread(self, name: str) -> DataFrame:
+        """A table under expensive expressions; the benchmark names a number of partitions, as its files are single ones."""
+        partitions = self.spark.conf.get(SPREAD, None)
+        return self.table(name, int(partitions) if partitions else None)
 
     def documents(self) -> DataFrame:
         """For the text-heavy queries."""
-        return self.table("documents", "doc_id")
+        return self.spread("documents")
 
     # conversation tables: one generated record per order, per event
     def train(self) -> DataFrame:
-        keys = self.table("orders", "o_orderkey").select(F.col("o_orderkey").alias("id"))
+        keys = self.spread("orders").select(F.col("o_orderkey").alias("id"))
         return conv.generate(keys, "id", conv.TRAINING)
 
     def prod(self) -> DataFrame:
-        keys = self.table("events", "event_id").select(F.col("event_id").alias("id"))
+        keys = self.spread("events").select(F.col("event_id").alias("id"))
         return conv.generate(keys, "id", conv.PRODUCTION)
 
     def dirty(self) -> DataFrame:
@@ -63,7 +71,7 @@ class Views:
             "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
         )
         return user.join(reply, ["conv_id", "turn"]).select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"), "context", "response"
+            F.concat_ws(":", "conv_id", "turn").alias("pair_id"), "context", "response"
         )
 
     # logged interactions: ten consecutive events are one conversation

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def clip(value: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+    """The value moved into [low, high]; NaN stays NaN."""
+    return F.when(F.isnan(value), value).otherwise(F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
 def sigmoid(score: Column) -> Column:

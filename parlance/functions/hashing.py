@@ -73,10 +73,13 @@ def _as_text(df: DataFrame, name: str) -> Column:
     col = null_if_nan(df, name)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return (col + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are one value
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(col).cast("string")  # an instant, whatever the session's time zone
     if isinstance(dtype, T.BinaryType):
         return F.hex(col)
     if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return F.when(col.isNotNull(), F.to_json(F.struct(col), {"ignoreNullFields": "false"}))
+        return F.when(col.isNotNull(), F.to_json(F.struct(col), {
+            "ignoreNullFields": "false", "timeZone": "UTC", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}))
     return col.cast("string")
 
 

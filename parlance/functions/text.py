@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
-def words(text: Column) -> Column:
-    """Lower-cased whitespace-separated words, without empty ones."""
-    return F.filter(F.split(F.lower(text), WHITESPACE), lambda w: w != F.lit(""))
+def words(text: Column, first: int | None = None) -> Column:
+    """Lower-cased whitespace-separated words, without empty ones; only the ``first`` ones if a number is given."""
+    # An empty word can stand before them and the unsplit rest after them.
+    parts = F.split(F.lower(text), WHITESPACE, -1 if first is None else first + 2)
+    found = F.filter(parts, lambda w: w != F.lit(""))
+    return found if first is None else F.slice(found, 1, first)
 
 
 def strip(text: Column) -> Column:

@@ -72,7 +72,10 @@ def most_frequent(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def impute_missing(df: DataFrame) -> DataFrame:
-    """Fill string columns with their mode and numeric columns with their exact median."""
+    """Fill string columns with their mode and numeric columns with their exact median.
+
+    A numeric column with gaps becomes a double, or stays a decimal; one without keeps its type.
+    """
     clean = _nan_to_null(df)
     strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     numbers = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -83,11 +86,13 @@ def impute_missing(df: DataFrame) -> DataFrame:
         for c in strings:
             filled[c] = F.coalesce(F.col(f"`{c}`"), modes.scalar()[c])
     if numbers:
-        # one small row tells which columns need a median at all; all become doubles either way
+        # one small row tells which columns need a median at all; the others stay as they are
         gaps = clean.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in numbers]).first().asDict()
         for c in numbers:
-            value = F.col(f"`{c}`").cast("double")
-            filled[c] = F.coalesce(value, median_of(clean, c).scalar()) if gaps[c] else value
+            if gaps[c]:
+                kind = clean.schema[c].dataType
+                kind = kind if isinstance(kind, T.DecimalType) else T.DoubleType()
+                filled[c] = F.coalesce(F.col(f"`{c}`").cast(kind), median_of(clean, c).scalar().cast(kind))
     return clean.withColumns(filled) if filled else clean
 
 

@@ -48,7 +48,6 @@ BASE_SCORE, SCORE_NOISE, SCORE_RANGE = 3.5, 0.3, (2.0, 5.0)
 BONUSES = [("negative", "understand", 0.5), ("positive", "glad", 0.3)]
 GOOD_MIN, BAD_BELOW = 4.0, 3.5
 TOP_N = 500
-HEAP_LIMIT = 100_000  # larger top-n cuts go through the distributed sort
 
 
 def _choices(options: dict[str, list[str]], by: Column) -> Column:
@@ -103,15 +102,11 @@ def sft_pairs(df: DataFrame, key: str, seed: int = 42, n_pairs: int | None = Non
 
 def top_n_label(df: DataFrame, key: str, score: str = "quality_score", n: int = TOP_N,
                 name: str = "is_good") -> DataFrame:
-    """Flag the ``n`` best-scored rows; equal scores by key. With fewer rows all are flagged.
+    """Flag the ``n`` best-scored rows; equal scores by key, missing scores last. With fewer rows all are flagged.
 
     The cut-off row is found first; flagging is then a comparison, without a join.
     """
-    if n > HEAP_LIMIT:
-        return df.withColumn(name, among_first(df, [(score, False), (key, True)], lambda total: F.lit(n)))
-    place = lambda: F.struct((-F.col(score)).alias("s"), F.col(key).alias("k"))
-    best = df.select(score, key).orderBy(F.desc(score), key).limit(n)
-    return df.withColumn(name, F.coalesce(place() <= best.agg(F.max(place())).scalar(), F.lit(False)))
+    return df.withColumn(name, among_first(df, [(score, False), (key, True)], lambda total: F.lit(n)))
 
 
 def label_averages(df: DataFrame, label: str = "is_good", score: str = "quality_score") -> DataFrame:
@@ -129,8 +124,9 @@ def label_averages(df: DataFrame, label: str = "is_good", score: str = "quality_
 
 
 def score_band(score: Column) -> Column:
-    """'good' from 4.0, 'bad' below 3.5, NULL between."""
-    return F.when(score >= F.lit(GOOD_MIN), F.lit("good")).when(score < F.lit(BAD_BELOW), F.lit("bad"))
+    """'good' from 4.0, 'bad' below 3.5, NULL between and for a missing score."""
+    good = ~F.isnan(score) & (score >= F.lit(GOOD_MIN))
+    return F.when(good, F.lit("good")).when(score < F.lit(BAD_BELOW), F.lit("bad"))
 
 
 def contexts_with_both(df: DataFrame, context: str = "context", score: str = "quality_score") -> DataFrame:
@@ -143,7 +139,7 @@ def contexts_with_both(df: DataFrame, context: str = "context", score: str = "qu
     )
 
 
-def first_contexts(df: DataFrame, order: str, context: str = "context", n: int = 1000) -> DataFrame:
+def first_contexts(df: DataFrame, order: str, n: int, context: str = "context") -> DataFrame:
     """Distinct contexts in order of first appearance, at most ``n``."""
     return df.groupBy(context).agg(F.min(order).alias("first_at")).orderBy("first_at", context).limit(n)
 
@@ -159,8 +155,8 @@ def preference_pairs(df: DataFrame, key: str, context: str = "context", response
     """
     rows = df
     if n_contexts is not None:
-        chosen = first_contexts(df, key, context, n_contexts).select(context)
-        rows = df.join(F.broadcast(chosen) if n_contexts <= HEAP_LIMIT else chosen, context, "left_semi")
+        chosen = first_contexts(df, key, n_contexts, context).select(context)
+        rows = df.join(chosen, context, "left_semi")  # Spark broadcasts it if its bytes, not its rows, are few
     side = score_band(F.col(score)) if band is None else band
     candidate = F.struct(
         digest(seed, "pick", F.col(key)).alias("h"), F.col(key).alias("k"),
@@ -196,7 +192,7 @@ def sft_sequences(df: DataFrame, key: str, context: str, response: str, vocab: D
     the input token itself; ``shift=True`` moves them to the preceding position, as
     next-token training needs.
     """
-    head = lambda c: F.slice(words(F.col(c)), 1, max_length)  # later words are cut in any case
+    head = lambda c: words(F.col(c), max_length)  # later words are cut in any case
     rows = word_ids(
         df.select(key, head(context).alias("ctx"), head(response).alias("resp")), ["ctx", "resp"], vocab
     ).withColumn("sep", vocab.where(F.col("token") == SEP_TOKEN).select(F.max("id")).scalar())

@@ -20,13 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parlance.functions.hashing import digest, hash_bucket, uniform
+from parlance.functions.hashing import digest, hash_bucket, null_if_nan, uniform
+from parlance.operators.joins import same_keys
 from parlance.session import ensure_checkpoint_dir
 
 Order = list[tuple[str, bool]]  # (column, ascending)
 
 HEX_DIGITS = 4  # 65,536 buckets: offsets stay below a few MB, a bucket is 1/65,536 of the rows
-IN_MEMORY_VALUES = 100_000  # distinct values one task may hold for a percentile
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in 33 bits
 
 
@@ -143,14 +143,25 @@ def ordered_rank(df: DataFrame, order: Order, name: str = "rank") -> DataFrame:
     )
 
 
+def _missing(df: DataFrame, name: str) -> Column:
+    """1 for NULL and NaN, else 0."""
+    return null_if_nan(df, name).isNull().cast("int")
+
+
 def among_first(df: DataFrame, order: Order, size: Callable[[Column], Column]) -> Column:
-    """Whether a row of ``df`` is among the first ``size(row count)`` of a given (unique, non-null) order.
+    """Whether a row of ``df`` is among the first ``size(row count)`` of a given (unique) order; missing values come last.
 
     Only the order columns are sorted and written. They give the last row inside, and every
     row is then compared with it where it is: the table itself is not shuffled.
     """
-    names = [c for c, _ in order]
-    chunks = sorted_chunks(df.select(*names), _sort_columns(order), names)
+    # Each column becomes (is it missing, its value), so that no comparison meets a NULL by surprise.
+    parts = []
+    for i, (c, ascending) in enumerate(order):
+        parts += [(f"_m{i}", _missing(df, c), True), (f"_v{i}", null_if_nan(df, c), ascending)]
+    keys = df.select(*[value.alias(name) for name, value, _ in parts])
+    sort = [F.col(name).asc() if ascending else F.col(name).desc() for name, _, ascending in parts]
+    names = [name for name, _, _ in parts]
+    chunks = sorted_chunks(keys, sort, names)
     whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counts = chunks.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
     at = (
@@ -161,10 +172,10 @@ def among_first(df: DataFrame, order: Order, size: Callable[[Column], Column]) -
         .select("_pid", (F.col("_last") - F.col("offset")).alias("_pos"))
     )
     last = chunks.join(F.broadcast(at), ["_pid", "_pos"]).select(F.struct(*names)).scalar()
-    inside = F.lit(True)
-    for c, ascending in reversed(order):
-        before = F.col(c) < last[c] if ascending else F.col(c) > last[c]
-        inside = before | ((F.col(c) == last[c]) & inside)
+    inside = last.isNotNull()
+    for name, value, ascending in reversed(parts):
+        before = value < last[name] if ascending else value > last[name]
+        inside = F.coalesce(before, F.lit(False)) | (value.eqNullSafe(last[name]) & inside)
     return F.coalesce(inside, F.lit(False))
 
 
@@ -186,27 +197,24 @@ def number_turns(df: DataFrame, group: str, order: list[str], name: str = "turn"
     earlier = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_carry", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     return (
-        chunks.join(pieces.select("_pid", group, "_start", "_carry"), ["_pid", group])
+        same_keys(chunks, pieces.select("_pid", group, "_start", "_carry"), ["_pid", group])
         .withColumn(name, (F.col("_pos") - F.col("_start") + F.col("_carry")).cast("int"))
         .select(*df.columns, name)
     )
 
 
-def median_of(df: DataFrame, column: str, in_memory: int = IN_MEMORY_VALUES) -> DataFrame:
+def median_of(df: DataFrame, column: str) -> DataFrame:
     """One-row exact median of a numeric column (interpolated), NULL for an empty column.
 
     Equal values are counted first, so a value held by a third of the rows is one row.
-    Up to ``IN_MEMORY_VALUES`` distinct values (checked) one task takes the weighted
-    percentile; beyond it the distinct values are sorted and only the partition that holds
-    the middle is looked at row by row.
+    The distinct values are sorted and only the partition that holds the middle is looked
+    at row by row.
     """
     values = (
         df.select(F.col(column).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
     )
-    if values.limit(in_memory + 1).count() <= in_memory:
-        return values.agg(F.percentile("_v", 0.5, F.col("_c")).alias("median"))
     chunks = sorted_chunks(values, [F.col("_v")], ["_v", "_c"])
     offsets = _running_offsets(chunks.groupBy("_pid").agg(F.sum("_c").alias("_n")), "_pid", "_n")
     whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

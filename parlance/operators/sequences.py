@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from parlance.operators.joins import same_keys
+
 CHUNK = 65536
 
 
@@ -43,13 +45,13 @@ def previous_value(df: DataFrame, group: str, turn: str, value: Column | str, in
         return df.withColumn(name, F.when(before.isNull(), initial).otherwise(before["v"]))
     local = Window.partitionBy(group, "_chunk").orderBy(turn)
     rows = df.withColumn("_value", value).withColumn("_chunk", _chunk(turn, chunk))
-    carry = (
-        rows.where(F.pmod(F.col(turn), F.lit(chunk)) == chunk - 1)
-        .select(group, (F.col("_chunk") + 1).alias("_chunk"), F.struct("_value").alias("_carry"))
-    )
+    # the last value of the last chunk before that has any rows, whatever turns are missing
+    ends = rows.groupBy(group, "_chunk").agg(F.max_by(F.struct("_value"), turn).alias("_end"))
+    carry = ends.select(
+        group, "_chunk", F.lag("_end").over(Window.partitionBy(group).orderBy("_chunk")).alias("_carry"))
     before = F.coalesce(F.lag(F.struct("_value")).over(local), F.col("_carry"))
     return (
-        rows.join(carry, [group, "_chunk"], "left")
+        same_keys(rows, carry, [group, "_chunk"], "left")
         .withColumn(name, F.when(before.isNull(), initial).otherwise(before["_value"]))
         .select(*df.columns, name)
     )
@@ -70,41 +72,48 @@ def discounted_returns(df: DataFrame, group: str, turn: str, reward: str, gamma:
     """Add the return-to-go ``G_t = r_t + gamma * G_{t+1}`` of each step.
 
     Inside a chunk the recursion has the closed form ``sum(gamma^k r_k) / gamma^t``,
-    with exponents counted from the chunk start so that they cannot underflow.
+    with exponents counted from the chunk start so that they cannot underflow. Turns are
+    walked from the last to the first, so the sum grows by one row at a time.
     """
     size = chunk or return_chunk(gamma)
+    value = F.col(reward) if max_turns is None else _guarded(F.col(reward), turn, max_turns)
     if gamma == 0.0:
-        return df.withColumn(name, F.col(reward))
+        return df.withColumn(name, value)
     power = lambda exponent: F.pow(F.lit(float(gamma)), exponent)
+    onward = lambda *keys: (
+        Window.partitionBy(*keys).orderBy(F.col(turn).desc()).rowsBetween(Window.unboundedPreceding, 0))
     if max_turns is not None and max_turns <= size:
         t = F.col(turn).cast("double")
-        onward = Window.partitionBy(group).orderBy(turn).rowsBetween(0, Window.unboundedFollowing)
-        weighted = F.sum(power(t) * _guarded(F.col(reward), turn, max_turns)).over(onward)
-        return df.withColumn(name, weighted / power(t))
+        return df.withColumn(name, F.sum(power(t) * value).over(onward(group)) / power(t))
     rows = (
-        df.withColumn("_chunk", _chunk(turn, size))
+        df.withColumn("_reward", value).withColumn("_chunk", _chunk(turn, size))
         .withColumn("_o", (F.col(turn) - F.col("_chunk") * F.lit(size)).cast("double"))
     )
-    later = (
-        rows.where(F.col(turn) >= size)
-        .groupBy(group, "_chunk").agg(F.sum(power(F.col("_o")) * F.col(reward)).alias("_v"))
-    )
-    if gamma == 1.0 or chunk is not None:
-        # chunk totals form a sequence that is ``size`` times shorter, discounted by gamma^size
-        ahead = Window.partitionBy(group).orderBy("_chunk").rowsBetween(0, Window.unboundedFollowing)
-        weight = F.pow(F.lit(float(gamma) ** size), F.col("_chunk").cast("double"))
-        later = later.withColumn("_v", F.sum(F.col("_v") * weight).over(ahead) / weight)
-    carry = later.select(group, (F.col("_chunk") - 1).alias("_chunk"), F.col("_v").alias("_carry"))
-    onward = Window.partitionBy(group, "_chunk").orderBy(turn).rowsBetween(0, Window.unboundedFollowing)
-    inside = F.sum(power(F.col("_o")) * F.col(reward)).over(onward) / power(F.col("_o"))
+    sums = rows.groupBy(group, "_chunk").agg(F.sum(power(F.col("_o")) * F.col("_reward")).alias("_s"))
+    by_chunk = Window.partitionBy(group).orderBy("_chunk")
+    gap = (F.lead("_chunk").over(by_chunk) - F.col("_chunk") - 1).cast("double") * F.lit(size)
+    carry = _chunk_returns(sums, group, float(gamma) ** size).select(
+        group, "_chunk", (F.lead("_v").over(by_chunk) * power(gap)).alias("_carry"))
+    inside = F.sum(power(F.col("_o")) * F.col("_reward")).over(onward(group, "_chunk")) / power(F.col("_o"))
     beyond = F.coalesce(F.col("_carry"), F.lit(0.0)) * power(F.lit(float(size)) - F.col("_o"))
     return (
-        rows.join(carry, [group, "_chunk"], "left")
+        same_keys(rows, carry, [group, "_chunk"], "left")
         .withColumn(name, inside + beyond)
         .select(*df.columns, name)
     )
 
 
+def _chunk_returns(sums: DataFrame, group: str, gamma: float) -> DataFrame:
+    """Returns-to-go ``_v`` at the starts of chunks: the same recursion on a sequence many times shorter."""
+    if gamma <= 1e-100:
+        return sums.withColumn("_v", F.col("_s"))  # what lies beyond the chunk weighs nothing
+    if gamma == 1.0:
+        ahead = Window.partitionBy(group).orderBy(F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        return sums.withColumn("_v", F.sum("_s").over(ahead))
+    shorter = sums.withColumnRenamed("_chunk", "_turn")
+    return discounted_returns(shorter, group, "_turn", "_s", gamma, "_v").withColumnRenamed("_turn", "_chunk")
+
+
 def best_before(df: DataFrame, group: str | None, step: str, value: str, name: str,
                 chunk: int = CHUNK, max_turns: int | None = None) -> DataFrame:
     """Add the maximum over all earlier steps of the group, NULL at its first step."""
@@ -121,7 +130,7 @@ def best_before(df: DataFrame, group: str | None, step: str, value: str, name: s
     )
     earlier_rows = Window.partitionBy(*keys, "_chunk").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        rows.join(carry, [*keys, "_chunk"])
+        same_keys(rows, carry, [*keys, "_chunk"])
         .withColumn(name, F.greatest(F.max(value).over(earlier_rows), F.col("_carry")))
         .select(*df.columns, name)
     )

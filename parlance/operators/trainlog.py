@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parlance.functions.arithmetic import bce_with_logits, clip, sigmoid
+from parlance.operators.ranking import number_turns
 from parlance.operators.sequences import best_before
 
 # Fixed values.
@@ -33,25 +35,31 @@ def masked_token_loss(tokens: DataFrame, by: list[str], target: str = "target",
 
 def trailing_loss(batches: DataFrame, epoch: str = "epoch", batch: str = "batch", loss: str = "loss",
                   every: int = 20) -> DataFrame:
-    """Mean loss of the last ``every`` batches, reported at each ``every``-th batch (1, 2, ...).
+    """Mean of the last ``every`` logged losses, reported at each batch whose number is a multiple of it.
 
-    The reported stretches do not overlap, so they are groups, not a sliding window.
+    Batches may be missing from the log. Rows are numbered, then cut into chunks that also hold the last rows
+    of the chunk before, so the short sliding window never spans a long epoch.
     """
-    stretch = F.ceil(F.col(batch) / F.lit(every)).cast("bigint")
+    chunk = 65536 * every
+    rows = number_turns(batches.select(epoch, batch, loss), epoch, [batch], "_at").withColumn("_at", F.col("_at").cast("bigint"))
+    own = F.floor(F.col("_at") / F.lit(chunk))
+    reaches_on = F.pmod(F.col("_at"), F.lit(chunk)) >= chunk - every + 1
+    spread = rows.withColumn("_chunk", F.explode(F.when(reaches_on, F.array(own, own + 1)).otherwise(F.array(own))))
+    last = Window.partitionBy(epoch, "_chunk").orderBy("_at").rowsBetween(1 - every, 0)
     return (
-        batches.groupBy(epoch, stretch.alias("_stretch"))
-        .agg(F.max(batch).alias(batch), F.avg(loss).alias("avg_loss"))
-        .where(F.col(batch) == F.col("_stretch") * F.lit(every))
-        .drop("_stretch")
+        spread.withColumn("avg_loss", F.avg(loss).over(last))
+        .where((F.col("_chunk") == own) & (F.pmod(F.col(batch), F.lit(every)) == 0))
+        .select(epoch, batch, "avg_loss")
     )
 
 
 def best_checkpoints(history: DataFrame, step: str = "epoch", accuracy: str = "accuracy",
                      run: str | None = None) -> DataFrame:
     """Steps whose accuracy beats all earlier ones (and 0), with the target verdict."""
-    before = best_before(history, run, step, accuracy, "_best")
+    known = history.withColumn("_known", F.when(~F.isnan(accuracy), F.col(accuracy)))  # NaN beats nothing
+    before = best_before(known, run, step, "_known", "_best")
     return (
-        before.where(F.col(accuracy) > F.coalesce("_best", F.lit(0.0))).drop("_best")
+        before.where(F.col("_known") > F.coalesce("_best", F.lit(0.0))).drop("_best", "_known")
         .withColumn("target_met", F.col(accuracy) >= F.lit(ACCURACY_TARGET))
     )
 
@@ -59,7 +67,8 @@ def best_checkpoints(history: DataFrame, step: str = "epoch", accuracy: str = "a
 def preference_accuracy(scored: DataFrame, by: list[str] | None = None, score: str = "score",
                         label: str = "label") -> DataFrame:
     """Share of examples whose thresholded sigmoid equals the label."""
-    predicted = F.when(sigmoid(F.col(score)) > 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
+    positive = ~F.isnan(score) & (sigmoid(F.col(score)) > 0.5)  # NaN is not above the threshold
+    predicted = F.when(positive, F.lit(1.0)).otherwise(F.lit(0.0))
     hit = F.when(predicted == F.col(label), F.lit(1.0)).otherwise(F.lit(0.0))
     return scored.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
 

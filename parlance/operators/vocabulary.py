@@ -19,6 +19,7 @@ SEP_TOKEN = "<SEP>"
 VOCAB_SIZE = 5000
 MAX_LENGTH = 256
 SLOTS = 1 << 14  # hash slots of a vocabulary lookup
+MAX_LOOKUP = 500_000  # tokens; some tens of MB in every task
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -59,6 +60,12 @@ def with_separator(vocab: DataFrame) -> DataFrame:
     return vocab.unionByName(row.where(F.col("present") == 0).drop("present"))
 
 
+def _bounded(value: Column) -> Column:
+    """The value, or an error that stops the job if the vocabulary is too large to travel as one."""
+    message = F.lit(f"a vocabulary of more than {MAX_LOOKUP} tokens cannot be looked up in one value")
+    return F.when(F.count(F.lit(1)) <= MAX_LOOKUP, value).otherwise(F.raise_error(message))
+
+
 def _slot(token: Column | str) -> Column:
     return F.pmod(F.hash(token), F.lit(SLOTS))
 
@@ -74,7 +81,8 @@ def _id_lookup(vocab: DataFrame) -> DataFrame:
     empty = vocab.sparkSession.range(SLOTS).select(
         F.col("id").cast("int").alias("slot"), F.lit(None).cast(filled.schema["entry"].dataType).alias("entry")
     )
-    slots = filled.unionByName(empty).groupBy("slot").agg(F.collect_list("entry").alias("entries"))
+    size = vocab.agg(_bounded(F.lit(True))).scalar()
+    slots = filled.where(size).unionByName(empty).groupBy("slot").agg(F.collect_list("entry").alias("entries"))
     in_order = F.array_sort(F.collect_list(F.struct("slot", "entries")))
     return slots.agg(F.transform(in_order, lambda s: F.map_from_entries(s["entries"])).alias("lookup"))
 
@@ -107,9 +115,7 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int
     words instead; ``None`` encodes whole texts. Words that cannot appear are not looked up.
     """
     limit = None if max_length is None else max_length - (2 if keep_eos else 1)
-    every = words(F.col(text))
-    cut = every if limit is None else F.slice(every, 1, limit)
-    parts = df.where(F.col(text).isNotNull()).select(key, *keep, cut.alias("ids"))
+    parts = df.where(F.col(text).isNotNull()).select(key, *keep, words(F.col(text), limit).alias("ids"))
     sequence = F.concat(_specials(BOS), F.col("ids"), _specials(EOS))
     if max_length is not None:
         sequence = F.slice(sequence, 1, max_length)
@@ -124,6 +130,6 @@ def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:
     by_id = F.transform(F.array_sort(F.collect_list(F.struct("id", "token"))), lambda e: e["token"])
     shown = F.filter(F.col(ids), lambda i: ~i.isin(PAD, BOS, EOS))
     token = lambda i: F.coalesce(F.get(F.col("_tokens"), i), F.lit(SPECIAL_TOKENS[UNK]))
-    return df.withColumn("_tokens", vocab.agg(by_id).scalar()).select(
+    return df.withColumn("_tokens", vocab.agg(_bounded(by_id)).scalar()).select(
         key, F.array_join(F.transform(shown, token), " ").alias("text")
     )

@@ -34,12 +34,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
+        _delete_on_exit(spark)
     elif context.master.startswith("local"):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        _delete_on_exit(spark)
     else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def _delete_on_exit(spark: SparkSession) -> None:
+    """The folder that Spark made for this application's checkpoints goes when its JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Compute a bounded artefact (a vocabulary, a model) once and read it back wherever it is used.
 

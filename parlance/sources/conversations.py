@@ -54,7 +54,7 @@ TRAINING = ConversationSpec(
 )
 PRODUCTION = ConversationSpec(
     123, "PROD_%06d", (0.25, 0.25, 0.25, 0.25), (0.33, 0.34, 0.33), (0.35, 0.55, 0.10),
-    ("Production conversation text",),
+    ("a message logged in production",),
 )
 
 

@@ -14,27 +14,22 @@ _DIALECT = {
 }
 
 
-def read_parquet(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """Read a table; ``spread_by`` deals its rows out by that key if the files offer too few splits.
+def read_parquet(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Read a table, in as many splits as its files offer or dealt out over ``partitions``.
 
-    A row group is the smallest unit of a scan. A small file with one row group keeps all
-    other cores idle, which matters before expensive text expressions. Tables with at
-    least two splits per core, so any large one, are left alone.
+    A row group is the smallest unit of a scan, so one small file keeps all other cores idle.
     """
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by is not None and df.rdd.getNumPartitions() < 2 * cores:
-        return df.repartition(cores, spread_by)
-    return df
+    return df if partitions is None else df.repartition(partitions)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """Read with an explicit schema, so the files are scanned once.
 
-    A record may contain line breaks, hence one file is one task: write many
-    files (see ``write_csv``) rather than a single large one.
+    Files are split. With ``multi_line`` a cell may hold line breaks, and one file is then one
+    task: write many files (see ``write_csv``) rather than a single large one.
     """
-    return spark.read.schema(schema).options(**_DIALECT, multiLine="true").csv(path)
+    return spark.read.schema(schema).options(**_DIALECT, multiLine=str(multi_line).lower()).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -195,5 +195,5 @@ def test_csv_round_trip(spark, tmp_path):
     texts = ['say "hi", ok', "two\nlines", "back\\slash", "  padded  ", "", None, "cr\r\nlf", "ends with quote\"", ","]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     write_csv(df.coalesce(1), str(tmp_path / "c"))
-    got = {r["i"]: r["t"] for r in read_csv(spark, str(tmp_path / "c"), df.schema).collect()}
+    got = {r["i"]: r["t"] for r in read_csv(spark, str(tmp_path / "c"), df.schema, multi_line=True).collect()}
     assert got == {i: (t or None) for i, t in enumerate(texts)}

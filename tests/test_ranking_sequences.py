@@ -69,20 +69,18 @@ def test_number_turns_with_a_hot_group(spark):
     assert {(r["g"], r["t"]): r["turn"] for r in ranking.number_turns(df, "g", ["t"]).collect()} == want
 
 
-@pytest.mark.parametrize("in_memory", [0, 100_000])
 @pytest.mark.parametrize("values", [
     [1.0, 2.0, 4.0], [4.0, 1.0], [5.0], [1.0] * 40 + [2.0] * 39 + [None], [float(i * 31 % 97) for i in range(500)],
 ])
-def test_median(spark, values, in_memory):
+def test_median(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
-    got = ranking.median_of(df, "x", in_memory).collect()
+    got = ranking.median_of(df, "x").collect()
     assert len(got) == 1 and got[0][0] == statistics.median(v for v in values if v is not None)
 
 
 def test_median_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert [r[0] for r in ranking.median_of(df, "x").collect()] == [None]
-    assert [r[0] for r in ranking.median_of(df, "x", 0).collect()] == [None]
 
 
 def episodes(seed, lengths):
