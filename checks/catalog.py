@@ -317,9 +317,10 @@ def _(v):
     return reports.report_summary(v.dirty(), v.prod())
 
 
-@query("status_rollup", _with_kl(["dirty", "profile", "prod"], _KL_DIRTY(_F3), f"""SELECT section, CASE WHEN bool_and(pass) THEN 'PASS' ELSE 'FAIL' END AS status
+@query("status_rollup", _with_kl(["dirty", "profile", "prod"],
+       f"cleanrows AS (SELECT {SIX} FROM profile WHERE ok AND missing = 0),\n" + _KL_DIRTY(_F3), f"""SELECT section, CASE WHEN bool_and(pass) THEN 'PASS' ELSE 'FAIL' END AS status
        FROM (SELECT 'dq_raw' AS section, pass FROM ({_scorecard("dirty", conv.COLUMNS, "timestamp")})
-             UNION ALL SELECT 'dq', TRUE FROM profile WHERE ok AND missing = 0
+             UNION ALL SELECT 'dq', pass FROM ({_CLEANED})
              UNION ALL SELECT 'ddq', pass FROM ({_DDQ})) GROUP BY section"""))
 def _(v):
     return reports.roll_up(reports.quality_metrics(v.dirty(), v.prod()), "section")
@@ -634,9 +635,20 @@ def _(v):
     return trajectory.gram_matrix(_training_set(v)).withColumn("value", rnd("value", 4))
 
 
-@query("value_theta")
+_NAMED = ", ".join(f"'{name}'" for name in trajectory.FEATURES)
+
+
+@query("value_theta", _with_kl(["featured"], """cells AS (
+      SELECT i, j, sum(features[i+1] * CASE WHEN j=10 THEN discounted_return ELSE features[j+1] END) AS s
+      FROM featured, range(0,10) AS a(i), range(0,11) AS b(j) GROUP BY i, j),
+    start AS (SELECT list(line ORDER BY i) AS a FROM (SELECT i, list(s ORDER BY j) AS line FROM cells GROUP BY i)),
+    steps_done(k, a) AS (SELECT 0, a FROM start UNION ALL
+      SELECT k+1, list_transform(a, lambda line, i: CASE WHEN i = k+1 THEN list_transform(line, lambda x: x / line[k+1])
+        ELSE list_transform(line, lambda x, j: x - line[k+1] * a[k+1][j] / a[k+1][k+1]) END) FROM steps_done WHERE k < 10)
+    """, f"SELECT ([{_NAMED}])[i] AS feature, {r('a[i][11]')} AS weight FROM steps_done, range(1,11) AS n(i) WHERE k = 10")
+       .replace("WITH", "WITH RECURSIVE", 1))
 def _(v):
-    return trajectory.fit_value_weights(_training_set(v))
+    return trajectory.fit_value_weights(_training_set(v)).withColumn("weight", rnd("weight"))
 
 
 THETA = [(i + 1) / 8 if i % 2 else -(i + 1) / 16 for i in range(10)]  # any weights do
@@ -784,11 +796,11 @@ def _(v):
     WHERE split='val')"""))
 def _(v):
     examples = prepare_texts(v.documents(), "doc_id", "text", max_length=None).examples
-    # examples are already shifted; the sequence is the input plus the last target
-    ids = F.concat("input_ids", F.slice("target_ids", -1, 1)).alias("ids")
-    part = lambda name: examples.where(F.col("split") == name).select("doc_id", ids)
-    model = freeze(nextword.bigram_model(part("train"), vocabulary.VOCAB_SIZE))
-    result = nextword.corpus_perplexity(part("val"), model, vocabulary.VOCAB_SIZE)
+    # both parts are counted in one pass over the texts
+    counts = freeze(nextword.shifted_pairs(examples, "split").groupBy("split", "prev", "next").agg(F.count(F.lit(1)).alias("n")))
+    part = lambda name: counts.where(F.col("split") == name).drop("split")
+    model = nextword.model_of_counts(part("train"), vocabulary.VOCAB_SIZE)
+    result = nextword.perplexity_of_counts(part("val"), model, vocabulary.VOCAB_SIZE)
     return result.withColumns({"nll": rnd("nll"), "perplexity": rnd("perplexity", 3)})
 
 
@@ -798,7 +810,9 @@ def _(v):
     return nextword.next_token_topk(_model(v)).select("prev", "next", "n", "rank")
 
 
-@query("preference_scorer")
+@query("preference_scorer", """SELECT source, count(*) AS n, sum(quality)::BIGINT AS positives, TRUE AS beats_majority FROM (
+    SELECT source, quality, row_number() OVER (ORDER BY md5('42:'||doc_id), doc_id) > floor(count(*) OVER () * 0.8::DOUBLE) AS val
+    FROM documents JOIN labels USING (doc_id)) WHERE val GROUP BY source""")
 def _(v):
     labelled = v.documents().join(v.table("labels"), "doc_id").select(
         "doc_id", "source", "text", F.col("quality").cast("double").alias("label")
@@ -807,5 +821,12 @@ def _(v):
     scored = scorer.preference_scores(
         split.where(F.col("split") == "train"), split.where(F.col("split") == "val")
     )
-    accuracy = trainlog.preference_accuracy(scored).select("n", rnd("accuracy", 3).alias("accuracy"))
-    return accuracy
+    right = trainlog.preference_accuracy(scored).select("accuracy").scalar()
+    share = F.avg("label")
+    majority = scored.agg(F.greatest(share, 1 - share)).scalar()
+    return scored.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives")
+    ).withColumn("beats_majority", right >= majority)
+
+
+from checks import awkward  # noqa: E402, F401  registers its queries

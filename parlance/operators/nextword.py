@@ -13,69 +13,69 @@ from pyspark.sql.window import Window
 from parlance.operators.batching import next_token_pairs
 
 SMOOTHING = 0.1
-SALTS = 16
 
 
-def token_pairs(encoded: DataFrame, *keep: str, ids: str = "ids") -> DataFrame:
-    """``prev, next`` of each adjacent position, from the row's own array (no window)."""
+def shifted_pairs(examples: DataFrame, *keep: str) -> DataFrame:
+    """``prev, next`` of each position of shifted examples, from the row's own arrays (no window)."""
     pairs = F.arrays_zip(F.col("input_ids").alias("prev"), F.col("target_ids").alias("next"))
-    return (
-        next_token_pairs(encoded.select(*keep, F.col(ids).alias("_ids")), "_ids")
-        .select(*keep, F.inline(pairs).alias("prev", "next"))
-    )
+    return examples.select(*keep, F.inline(pairs).alias("prev", "next"))
 
 
-def bigram_model(encoded: DataFrame, vocab_size: int, smoothing: float = SMOOTHING, ids: str = "ids") -> DataFrame:
+def token_pairs(encoded: DataFrame, *keep: str, ids: str = "ids") -> DataFrame:
+    """``prev, next`` of each adjacent position of whole sequences."""
+    return shifted_pairs(next_token_pairs(encoded.select(*keep, F.col(ids).alias("_ids")), "_ids"), *keep)
+
+
+def pair_counts(encoded: DataFrame, ids: str = "ids") -> DataFrame:
+    """``prev, next, n``; counted per task before the shuffle, so no pair is hot."""
+    return token_pairs(encoded, ids=ids).groupBy("prev", "next").agg(F.count(F.lit(1)).alias("n"))
+
+
+def model_of_counts(counts: DataFrame, vocab_size: int, smoothing: float = SMOOTHING) -> DataFrame:
     """``prev, next, n, prev_n, probability`` with add-k smoothing."""
-    counts = token_pairs(encoded, ids=ids).groupBy("prev", "next").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("prev").agg(F.sum("n").alias("prev_n"))
     return (
-        counts.join(F.broadcast(totals), "prev")  # one row per vocabulary entry
+        counts.join(totals, "prev")
         .withColumn("probability", (F.col("n") + F.lit(smoothing)) / (F.col("prev_n") + F.lit(smoothing * vocab_size)))
     )
 
 
-def sequence_perplexity(encoded: DataFrame, key: str, model: DataFrame, vocab_size: int,
-                        smoothing: float = SMOOTHING, ids: str = "ids") -> DataFrame:
-    """``key, tokens, nll, perplexity`` of each sequence under a bigram model.
-
-    A pair that nearly every sequence contains is a hot join key. Each sequence is counted per
-    distinct pair first; then its pairs take one of ``SALTS`` salts by the sequence's key and
-    meet a copy of the model per salt, so that a hot pair is spread over as many tasks.
-    """
-    pairs = (
-        token_pairs(encoded, key, ids=ids).groupBy(key, "prev", "next").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("_salt", F.pmod(F.hash(key), F.lit(SALTS)))
-    )
-    copies = model.select("prev", "next", "probability").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    totals = F.broadcast(model.groupBy("prev").agg(F.max("prev_n").alias("prev_n")))
+def bigram_model(encoded: DataFrame, vocab_size: int, smoothing: float = SMOOTHING, ids: str = "ids") -> DataFrame:
+    """The smoothed model of whole encoded sequences."""
+    return model_of_counts(pair_counts(encoded, ids), vocab_size, smoothing)
+
+
+def _with_cost(pairs: DataFrame, model: DataFrame, vocab_size: int, smoothing: float) -> DataFrame:
+    """Add ``cost``, the negative log probability. Spark splits the join of a hot pair, or broadcasts a small model."""
+    totals = model.groupBy("prev").agg(F.max("prev_n").alias("prev_n"))
     unseen = F.lit(smoothing) / (F.coalesce("prev_n", F.lit(0)) + F.lit(smoothing * vocab_size))
-    scored = (
-        pairs.join(copies, ["prev", "next", "_salt"], "left")
-        .join(totals, "prev", "left")
-        .withColumn("cost", -F.ln(F.coalesce("probability", unseen)) * F.col("c"))
+    return (
+        pairs.join(model.select("prev", "next", "probability"), ["prev", "next"], "left")
+        .join(totals, "prev", "left")  # at most one row per vocabulary entry
+        .withColumn("cost", -F.ln(F.coalesce("probability", unseen)))
     )
+
+
+def sequence_perplexity(encoded: DataFrame, key: str, model: DataFrame, vocab_size: int,
+                        smoothing: float = SMOOTHING, ids: str = "ids") -> DataFrame:
+    """``key, tokens, nll, perplexity`` of each sequence under a bigram model."""
+    scored = _with_cost(token_pairs(encoded, key, ids=ids), model, vocab_size, smoothing)
+    return scored.groupBy(key).agg(F.count(F.lit(1)).alias("tokens"), F.avg("cost").alias("nll")).withColumn("perplexity", F.exp("nll"))
+
+
+def perplexity_of_counts(counts: DataFrame, model: DataFrame, vocab_size: int, smoothing: float = SMOOTHING) -> DataFrame:
+    """One row for all sequences whose pairs were counted."""
+    scored = _with_cost(counts, model, vocab_size, smoothing)
     return (
-        scored.groupBy(key).agg(F.sum("c").alias("tokens"), (F.sum("cost") / F.sum("c")).alias("nll"))
+        scored.agg(F.sum("n").alias("tokens"), (F.sum(F.col("cost") * F.col("n")) / F.sum("n")).alias("nll"))
         .withColumn("perplexity", F.exp("nll"))
     )
 
 
 def corpus_perplexity(encoded: DataFrame, model: DataFrame, vocab_size: int, smoothing: float = SMOOTHING,
                       ids: str = "ids") -> DataFrame:
-    """One row for all sequences; pairs are counted before they meet the model, so no key is hot."""
-    pairs = token_pairs(encoded, ids=ids).groupBy("prev", "next").agg(F.count(F.lit(1)).alias("c"))
-    totals = F.broadcast(model.groupBy("prev").agg(F.max("prev_n").alias("prev_n")))
-    unseen = F.lit(smoothing) / (F.coalesce("prev_n", F.lit(0)) + F.lit(smoothing * vocab_size))
-    cost = -F.ln(F.coalesce("probability", unseen)) * F.col("c")
-    return (
-        pairs.join(model.select("prev", "next", "probability"), ["prev", "next"], "left")
-        .join(totals, "prev", "left")
-        .agg(F.sum("c").alias("tokens"), (F.sum(cost) / F.sum("c")).alias("nll"))
-        .withColumn("perplexity", F.exp("nll"))
-    )
+    """One row for all sequences; pairs are counted before they meet the model."""
+    return perplexity_of_counts(pair_counts(encoded, ids), model, vocab_size, smoothing)
 
 
 def next_token_topk(model: DataFrame, k: int = 3) -> DataFrame:

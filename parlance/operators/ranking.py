@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from parlance.functions.hashing import digest, hash_bucket, null_if_nan, uniform
 from parlance.operators.joins import same_keys
-from parlance.session import ensure_checkpoint_dir
+from parlance.session import ensure_checkpoint_dir, freeze
 
 Order = list[tuple[str, bool]]  # (column, ascending)
 
@@ -66,11 +66,13 @@ def split_size(total: Column, ratio: float) -> Column:
     return F.floor(total * F.lit(float(ratio))).cast("bigint")
 
 
-def hash_split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42, name: str = "split") -> DataFrame:
+def hash_split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42, name: str = "split",
+               frozen: bool = False) -> DataFrame:
     """Label exactly ``int(n * ratio)`` rows 'train' and the rest 'val', in seeded hash order.
 
     No row is shuffled: bucket counts locate the one bucket in which the cut falls,
     the cut-off key is found inside it, and labelling is a comparison with that key.
+    The cut is looked for in every job that uses the labels, or once if it is ``frozen``.
     """
     h = digest(seed, F.col(key))
     counts = (
@@ -91,13 +93,14 @@ def hash_split(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42, name
         .withColumn("_sum", F.sum("_c").over(Window.orderBy("_h", "_key")))
         .where(F.col("_sum") <= F.col("_need"))
     )
-    last = inside.agg(F.max(F.struct("_h", "_key")).alias("last"), F.min("_need").alias("_need"))
     # the cut bucket may hold no complete key group; then everything before it is 'train'
-    edge = cut.agg(F.max("_b").alias("_b"))
-    cutoff = F.coalesce(
-        F.struct(h.alias("_h"), F.col(key).alias("_key")) <= last.select("last").scalar(), F.lit(False)
-    )
-    before = F.coalesce(hash_bucket(h, HEX_DIGITS) < edge.scalar(), F.lit(False))
+    last = inside.agg(F.max(F.struct("_h", "_key")).alias("last"))
+    found = cut.agg(F.max("_b").alias("edge")).withColumn("last", last.scalar())  # one row
+    if frozen:
+        found = freeze(found)
+    at = found.select(F.struct("edge", "last")).scalar()
+    cutoff = F.coalesce(F.struct(h.alias("_h"), F.col(key).alias("_key")) <= at["last"], F.lit(False))
+    before = F.coalesce(hash_bucket(h, HEX_DIGITS) < at["edge"], F.lit(False))
     return df.withColumn(name, F.when(before | cutoff, F.lit("train")).otherwise(F.lit("val")))
 
 

@@ -86,7 +86,11 @@ def quality_report(raw: DataFrame, production: DataFrame, timestamp: str = "time
 
 def report_summary(raw: DataFrame, production: DataFrame, timestamp: str = "timestamp") -> DataFrame:
     """The report as one flat row of statuses and removed-row counts."""
-    report = quality_report(raw, production, timestamp)
+    return summarise(quality_report(raw, production, timestamp))
+
+
+def summarise(report: DataFrame) -> DataFrame:
+    """One flat row of a nested report, also of one that was written and read back."""
     removed: Mapping[str, int] = {"removed_duplicates": 0, "removed_invalid": 1, "removed_incomplete": 2}
     return report.select(
         F.col("dq_assessment.status").alias("dq_status"),

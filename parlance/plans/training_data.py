@@ -22,7 +22,7 @@ class Prepared:
 def prepare_texts(df: DataFrame, key: str, text: str, ratio: float = 0.8, seed: int = 42,
                   vocab_size: int = VOCAB_SIZE, max_length: int | None = MAX_LENGTH) -> Prepared:
     """Split, build the vocabulary on the training part only, encode both parts, shift by one."""
-    labelled = hash_split(df.where(F.col(text).isNotNull()), key, ratio, seed)
+    labelled = hash_split(df.where(F.col(text).isNotNull()), key, ratio, seed, frozen=True)
     # a full pass over the texts, used by every later encoding: done once
     vocab = freeze(build_vocab(labelled.where(F.col("split") == "train"), text, vocab_size))
     encoded = encode(labelled, key, text, vocab, max_length, keep=("split",))

@@ -37,6 +37,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(**_DIALECT, emptyValue="").csv(path)
 
 
+def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read a report back in its own schema."""
+    return spark.read.schema(schema).json(path)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a (small, nested) report as JSON lines, keeping fields that are NULL."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
