@@ -23,9 +23,12 @@ DOCUMENTS = 200
 SAMPLE_CHARS = 1024
 MAX_LANGUAGES = 1000
 BLOCK = 4096
+SMALL_BLOCK = 64
+CLEAR = 0.02
 LEVEL = 6
 UNKNOWN = "und"
 MARGIN = 0.001
+_BLANKS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -50,7 +53,12 @@ def learn_dictionaries(labelled: DataFrame, text: Column, lang: Column, id_col:
     found: dict[str, list[str]] = {row["lang"]: [] for row in known}
     for row in sample.orderBy("lang", "k").toLocalIterator():
         found[row["lang"]].append(row["excerpt"])
-    return {lang: "\n".join(texts).lower().encode() for lang, texts in found.items()}
+    return {lang: plain("\n".join(texts)) for lang, texts in found.items()}
+
+
+def plain(text: str) -> bytes:
+    """Lower-case UTF-8 with single blanks for digits, ASCII punctuation and white space, which tell nothing of a language."""
+    return b" ".join(text.lower().encode("utf-8", "replace").translate(_BLANKS).split())
 
 
 def blocks(text: bytes, size: int) -> list[bytes]:
@@ -70,11 +78,16 @@ def classify(text: str | None, names: list[str], tools: list[zstandard.ZstdCompr
     """(language, score): the score is the share of bytes that the best dictionary saves over the second best."""
     if not text or not names or not _LETTER.search(text):
         return UNKNOWN, 0.0
-    parts = blocks(text.lower().encode("utf-8", "replace"), BLOCK)
-    sizes = [sum(len(tool.compress(part)) for part in parts) for tool in tools]
-    order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
-    second = sizes[order[1]] if len(order) > 1 else sum(map(len, parts)) + len(parts)
-    return names[order[0]], max(0.0, 1.0 - sizes[order[0]] / max(1, second))
+    content, sizes = plain(text), [0] * len(tools)
+    for size in (BLOCK, SMALL_BLOCK):
+        parts = blocks(content, size)
+        sizes = [seen + sum(len(tool.compress(part)) for part in parts) for seen, tool in zip(sizes, tools)]
+        order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
+        second = sizes[order[1]] if len(order) > 1 else sum(map(len, parts)) + len(parts)
+        score = max(0.0, 1.0 - sizes[order[0]] / max(1, second))
+        if score >= CLEAR:  # a narrow text is compressed once more in small blocks, which lean on the dictionary alone
+            break
+    return names[order[0]], score
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "text", margin: float = MARGIN) -> DataFrame:
