@@ -26,5 +26,5 @@ def test_entry_points(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(QUERIES) - set(SQL) == {"value_theta", "preference_scorer"}
+    assert set(QUERIES) == set(SQL)
     assert entry.entry(spark).count() == 9
