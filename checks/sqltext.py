@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parlance.operators import pairs, trajectory
+from parlance.operators import pairs
 from parlance.sources import conversations as conv
 
 WS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -93,19 +93,19 @@ def _sft() -> str:
       FROM train)"""
 
 
-def _rules(rules, default: str) -> str:
-    conditions = {
-        "vip": "customer_segment='vip'", "mentioned_issue": "mentioned_issue",
-        "asked_about_price": "asked_about_price", "frustrated": "satisfaction < 0.4::DOUBLE",
-    }
-    arms = " ".join(
-        f"WHEN action={a}{' AND ' + conditions[c] if c else ''} THEN {v}::DOUBLE" for a, c, v in rules
-    )
-    return f"CASE {arms} ELSE {default}::DOUBLE END"
-
-
-DELTA = _rules(trajectory.SATISFACTION_RULES, "0")
-SELL = _rules(trajectory.PURCHASE_RULES, "0")
+# Fixed values, written out on their own so that a wrong rule of the library shows.
+DELTA = """CASE
+    WHEN action = 0 THEN CASE WHEN asked_about_price THEN 0.2 ELSE 0.05 END
+    WHEN action = 1 THEN CASE WHEN customer_segment = 'vip' THEN 0.25 WHEN mentioned_issue THEN 0.2 ELSE 0.1 END
+    WHEN action = 2 THEN 0.1
+    WHEN action = 3 THEN CASE WHEN mentioned_issue THEN 0.3 ELSE 0.15 END
+    WHEN action = 4 THEN CASE WHEN mentioned_issue THEN 0.4 ELSE 0.25 END
+    WHEN action = 5 THEN CASE WHEN satisfaction < 0.4::DOUBLE THEN 0.1 ELSE -0.1 END
+    ELSE 0 END::DOUBLE"""
+SELL = """CASE
+    WHEN action = 0 THEN 0.8
+    WHEN action = 1 THEN CASE WHEN customer_segment = 'vip' THEN 0.7 ELSE 0.5 END
+    ELSE 0 END::DOUBLE"""
 
 
 def word_list(expr: str) -> str:
