@@ -30,11 +30,6 @@ def choose(values, key: str) -> str:
     return f"({lst(values)})[floor({u(key)}*{len(values)}.0::DOUBLE)::INT+1]"
 
 
-def weighted(values, uppers, key: str) -> str:
-    arms = " ".join(f"WHEN {u(key)} < {b}::DOUBLE THEN {q(v)}" for v, b in zip(values, uppers))
-    return f"CASE {arms} ELSE {q(values[-1])} END"
-
-
 def r(expr: str, digits: int = 6) -> str:
     """Rounding that sends both engines the same way at exact halves.
 
@@ -44,15 +39,21 @@ def r(expr: str, digits: int = 6) -> str:
     return f"round(({expr})::DOUBLE + 3.71828e-11::DOUBLE, {digits})"
 
 
-def _generated(table: str, key: str, seed: int, prefix: str, cat, sen, out, texts) -> str:
-    k = lambda tag: f"'{seed}:{tag}:'||{key}"
-    return f"""SELECT {key} AS id, printf('{prefix}_%06d', {key}) AS customer_id,
-      {weighted(conv.CATEGORIES, cat, k('cat'))} AS product_category,
-      {weighted(conv.SENTIMENTS, sen, k('sen'))} AS sentiment,
-      strftime(DATE '2019-01-01' + floor({u(k('ts'))}*2191.0::DOUBLE)::INT, '%Y-%m-%d')||'T00:00:00' AS "timestamp",
-      {choose(texts, k('text'))} AS conversation_text,
-      {weighted(conv.OUTCOMES, out, k('out'))} AS outcome
-    FROM {table}"""
+# Conversation records from the cells of an order and of an event.
+_TRAIN = """SELECT o_orderkey AS id, printf('CUST_%06d', o_custkey) AS customer_id,
+      CASE o_orderpriority WHEN '1-URGENT' THEN 'Electronics' WHEN '2-HIGH' THEN 'Electronics' WHEN '3-MEDIUM' THEN 'Clothing'
+        WHEN '5-LOW' THEN 'Home' ELSE 'Sports' END AS product_category,
+      CASE WHEN o_totalprice >= 300000 THEN 'positive' WHEN o_totalprice >= 100000 THEN 'neutral' ELSE 'negative' END AS sentiment,
+      strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS "timestamp",
+      'My order of '||year(o_orderdate)||' is '||o_orderpriority AS conversation_text,
+      CASE o_orderstatus WHEN 'F' THEN 'purchase' WHEN 'O' THEN 'abandon' ELSE 'escalate' END AS outcome
+    FROM orders"""
+_PROD = """SELECT event_id AS id, printf('PROD_%06d', user_id) AS customer_id,
+      CASE event_type WHEN 'signup' THEN 'Electronics' WHEN 'click' THEN 'Clothing' WHEN 'view' THEN 'Home' ELSE 'Sports' END AS product_category,
+      CASE WHEN value >= 30 THEN 'positive' WHEN value >= 10 THEN 'neutral' ELSE 'negative' END AS sentiment,
+      strftime(ts, '%Y-%m-%dT%H:%M:%S') AS "timestamp", props AS conversation_text,
+      CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'error' THEN 'escalate' ELSE 'abandon' END AS outcome
+    FROM events"""
 
 
 def _holes(rate: str = "0.2") -> str:
@@ -135,9 +136,8 @@ FEATURE_SQL = """[satisfaction, (customer_segment='vip')::INT::DOUBLE, (customer
 
 # name -> (names it needs, text)
 CTES: dict[str, tuple[list[str], str]] = {
-    "train": ([], _generated("orders", "o_orderkey", 42, "CUST", (0.6, 0.9, 0.97), (0.4, 0.8), (0.3, 0.9), conv.TEXTS)),
-    "prod": ([], _generated("events", "event_id", 123, "PROD", (0.25, 0.5, 0.75), (0.33, 0.67), (0.35, 0.9),
-                            ["a message logged in production"])),
+    "train": ([], _TRAIN),
+    "prod": ([], _PROD),
     "holes": (["train"], f"SELECT id, {_holes()} FROM train"),
     "copies": (["holes"], f"""SELECT *, unnest(CASE WHEN {u("'42:duplicate:'||id")} < 0.05::DOUBLE THEN [0,1] ELSE [0] END) AS copy_no
       FROM holes"""),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions.hashing import standard_normal, uniform
@@ -16,6 +16,10 @@ from parlance.sources.files import read_parquet
 SPREAD = "spark.parlance.partitions"
 
 
+def _iso(instant: Column) -> Column:
+    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss")
+
+
 class Views:
     """Lazy views over one data folder."""
 
@@ -35,14 +39,32 @@ class Views:
         """For the text-heavy queries."""
         return self.spread("documents")
 
-    # conversation tables: one generated record per order, per event
+    # conversation tables: one record per order, per event, from their own cells
     def train(self) -> DataFrame:
-        keys = self.spread("orders").select(F.col("o_orderkey").alias("id"))
-        return conv.generate(keys, "id", conv.TRAINING)
+        priority, price, status = F.col("o_orderpriority"), F.col("o_totalprice"), F.col("o_orderstatus")
+        return self.spread("orders").select(
+            F.col("o_orderkey").alias("id"),
+            F.format_string("CUST_%06d", F.col("o_custkey")).alias("customer_id"),
+            F.when(priority.isin("1-URGENT", "2-HIGH"), "Electronics").when(priority == "3-MEDIUM", "Clothing")
+            .when(priority == "5-LOW", "Home").otherwise("Sports").alias("product_category"),
+            F.when(price >= 300000, "positive").when(price >= 100000, "neutral").otherwise("negative").alias("sentiment"),
+            _iso(F.col("o_orderdate")).alias("timestamp"),
+            F.concat(F.lit("My order of "), F.year("o_orderdate"), F.lit(" is "), priority).alias("conversation_text"),
+            F.when(status == "F", "purchase").when(status == "O", "abandon").otherwise("escalate").alias("outcome"),
+        )
 
     def prod(self) -> DataFrame:
-        keys = self.spread("events").select(F.col("event_id").alias("id"))
-        return conv.generate(keys, "id", conv.PRODUCTION)
+        kind, value = F.col("event_type"), F.col("value")
+        return self.spread("events").select(
+            F.col("event_id").alias("id"),
+            F.format_string("PROD_%06d", F.col("user_id")).alias("customer_id"),
+            F.when(kind == "signup", "Electronics").when(kind == "click", "Clothing").when(kind == "view", "Home")
+            .otherwise("Sports").alias("product_category"),
+            F.when(value >= 30, "positive").when(value >= 10, "neutral").otherwise("negative").alias("sentiment"),
+            _iso(F.col("ts")).alias("timestamp"),
+            F.col("props").alias("conversation_text"),
+            F.when(kind == "purchase", "purchase").when(kind == "error", "escalate").otherwise("abandon").alias("outcome"),
+        )
 
     def dirty(self) -> DataFrame:
         return conv.with_quality_problems(self.train(), "id")
