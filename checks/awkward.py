@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from checks import sqltext as S
 from checks.catalog import SQL, query, rnd
-from checks.sqltext import r
+from checks.sqltext import r, with_
 from checks.views import Views
-from parlance.operators import cleaning, drift, pairs, ranking, rebalance, sequences, trainlog
+from parlance.operators import cleaning, drift, pairs, ranking, rebalance, sequences, trainlog, trajectory
 from parlance.plans import quality_report as reports
 from parlance.session import ensure_checkpoint_dir
 from parlance.sources import files
@@ -69,6 +69,29 @@ def _(v):
     return trainlog.trailing_loss(logged).withColumn("avg_loss", rnd("avg_loss"))
 
 
+@query("step_rewards_user_days", with_(["daysteps"], f"SELECT event_id, turn, {r('satisfaction')} AS satisfaction, {r('reward')} AS reward FROM daysteps"))
+def _(v):
+    return v.day_steps().select("event_id", "turn", rnd("satisfaction").alias("satisfaction"), rnd("reward").alias("reward"))
+
+
+@query("policy_metrics_user_days", with_(["dayepisodes"], f"""SELECT product_category, count(*) AS episodes, {r('avg(reward)')} AS avg_reward,
+    {r('stddev_pop(reward)')} AS std_reward, {r('sum(p)/count(*)::DOUBLE')} AS purchase_rate, {r('sum(e)/count(*)::DOUBLE')} AS escalation_rate,
+    {r('avg(turns)')} AS avg_turns FROM (SELECT product_category, episode, sum(reward) AS reward, sum(purchased::INT) AS p,
+      sum(escalated::INT) AS e, count(*) AS turns FROM dayepisodes GROUP BY product_category, episode) GROUP BY product_category"""))
+def _(v):
+    metrics = trajectory.policy_metrics(trajectory.until_terminal(v.day_steps(), v.terminal()), ["product_category"])
+    doubles = ["avg_reward", "std_reward", "purchase_rate", "escalation_rate", "avg_turns"]
+    return metrics.withColumns({c: rnd(c) for c in doubles})
+
+
+@query("value_training_user_days", with_(["dayfeatured"], f"""SELECT event_id, {r('discounted_return')} AS discounted_return,
+    {r('features[1]')} AS satisfaction, {r('features[10]')} AS progress FROM dayfeatured"""))
+def _(v):
+    rows = trajectory.value_training_set(v.day_steps())
+    return rows.select("event_id", rnd("discounted_return").alias("discounted_return"),
+                       rnd(F.col("features")[0]).alias("satisfaction"), rnd(F.col("features")[9]).alias("progress"))
+
+
 # ---------------------------------------------------------------- missing scores, wide integers
 
 

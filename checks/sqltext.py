@@ -134,6 +134,32 @@ FEATURE_SQL = """[satisfaction, (customer_segment='vip')::INT::DOUBLE, (customer
   (product_category='Home')::INT::DOUBLE, (product_category='Sports')::INT::DOUBLE,
   mentioned_issue::INT::DOUBLE, asked_about_price::INT::DOUBLE, turn::DOUBLE/10::DOUBLE]"""
 
+def _logged(episode: str, turn: str, e: str) -> str:
+    """Events as steps of episodes; ``e`` is the number that segment and category hang on."""
+    return f"""SELECT event_id, user_id, {episode} AS episode, {turn} AS turn,
+        ((event_id*7+user_id)%6)::INT AS action, event_type='purchase' AS purchased, event_type='error' AS escalated,
+        CASE WHEN event_type='purchase' THEN 0.95::DOUBLE ELSE least(1::DOUBLE, value/100::DOUBLE) END AS satisfaction_after,
+        (['new','regular','vip'])[({e})%3+1] AS customer_segment,
+        (['Electronics','Clothing','Home','Sports'])[({e})%4+1] AS product_category,
+        ({e})%10 < 3 AS mentioned_issue, ({e})%10 >= 6 AS asked_about_price FROM events"""
+
+
+def _trajectory(logged: str, prefix: str) -> dict[str, tuple[list[str], str]]:
+    """Rewards, the steps up to the terminal one, returns and features of logged steps."""
+    return {
+        f"{prefix}steps": ([logged], f"""SELECT *, 0.5::DOUBLE*(satisfaction_after-satisfaction)
+          + 0.35::DOUBLE*purchased::INT::DOUBLE + (-0.15)::DOUBLE*escalated::INT::DOUBLE AS reward,
+        turn+1 >= 10 OR purchased OR escalated OR satisfaction_after < 0.2::DOUBLE AS ends
+      FROM (SELECT *, coalesce(lag(satisfaction_after) OVER (PARTITION BY episode ORDER BY turn), 0.55::DOUBLE) AS satisfaction
+            FROM {logged})"""),
+        f"{prefix}episodes": ([f"{prefix}steps"], f"""SELECT * FROM (SELECT *, coalesce(max(ends::INT) OVER (PARTITION BY episode ORDER BY turn
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ended FROM {prefix}steps) WHERE ended = 0"""),
+        f"{prefix}returns": ([f"{prefix}steps"], f"""SELECT *, sum(pow(0.99::DOUBLE, turn)*reward) OVER (PARTITION BY episode ORDER BY turn
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)/pow(0.99::DOUBLE, turn) AS discounted_return FROM {prefix}steps"""),
+        f"{prefix}featured": ([f"{prefix}returns"], f"SELECT *, {FEATURE_SQL} AS features FROM {prefix}returns"),
+    }
+
+
 # name -> (names it needs, text)
 CTES: dict[str, tuple[list[str], str]] = {
     "train": ([], _TRAIN),
@@ -155,22 +181,11 @@ CTES: dict[str, tuple[list[str], str]] = {
         lead(turn) OVER w AS next_turn
       FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
       WHERE role='user' AND next_role='assistant' AND next_turn = turn + 1"""),
-    "logged": ([], """SELECT event_id, user_id, event_id//10 AS episode, (event_id%10)::INT AS turn,
-        ((event_id*7+user_id)%6)::INT AS action, event_type='purchase' AS purchased, event_type='error' AS escalated,
-        CASE WHEN event_type='purchase' THEN 0.95::DOUBLE ELSE least(1::DOUBLE, value/100::DOUBLE) END AS satisfaction_after,
-        (['new','regular','vip'])[(event_id//10)%3+1] AS customer_segment,
-        (['Electronics','Clothing','Home','Sports'])[(event_id//10)%4+1] AS product_category,
-        (event_id//10)%10 < 3 AS mentioned_issue, (event_id//10)%10 >= 6 AS asked_about_price FROM events"""),
-    "steps": (["logged"], """SELECT *, 0.5::DOUBLE*(satisfaction_after-satisfaction)
-          + 0.35::DOUBLE*purchased::INT::DOUBLE + (-0.15)::DOUBLE*escalated::INT::DOUBLE AS reward,
-        turn+1 >= 10 OR purchased OR escalated OR satisfaction_after < 0.2::DOUBLE AS ends
-      FROM (SELECT *, coalesce(lag(satisfaction_after) OVER (PARTITION BY episode ORDER BY turn), 0.55::DOUBLE) AS satisfaction
-            FROM logged)"""),
-    "episodes": (["steps"], """SELECT * FROM (SELECT *, coalesce(max(ends::INT) OVER (PARTITION BY episode ORDER BY turn
-          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ended FROM steps) WHERE ended = 0"""),
-    "returns": (["steps"], """SELECT *, sum(pow(0.99::DOUBLE, turn)*reward) OVER (PARTITION BY episode ORDER BY turn
-          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)/pow(0.99::DOUBLE, turn) AS discounted_return FROM steps"""),
-    "featured": (["returns"], f"SELECT *, {FEATURE_SQL} AS features FROM returns"),
+    "logged": ([], _logged("event_id//10", "(event_id%10)::INT", "event_id//10")),
+    "daylogged": ([], _logged("CASE WHEN user_id%5 <> 0 THEN user_id||'|'||ts::DATE END",
+        "(row_number() OVER (PARTITION BY CASE WHEN user_id%5 <> 0 THEN user_id||'|'||ts::DATE END ORDER BY event_id)-1)::INT", "user_id")),
+    **_trajectory("logged", ""),
+    **_trajectory("daylogged", "day"),
     "trainlog": ([], """SELECT datediff('day', DATE '2024-01-01', ts::DATE)::INT AS epoch, event_id, event_type, value/100::DOUBLE AS loss,
         row_number() OVER (PARTITION BY ts::DATE ORDER BY event_id) AS batch FROM events"""),
     "scored": ([], f"""SELECT doc_id, source, quality::DOUBLE AS label,

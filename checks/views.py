@@ -98,25 +98,32 @@ class Views:
 
     # logged interactions: ten consecutive events are one conversation
     def steps(self) -> DataFrame:
-        episode = F.floor(F.col("event_id") / 10).cast("bigint")
-        e = F.col("episode")
+        e = F.floor(F.col("event_id") / 10).cast("bigint")
+        turn = F.pmod("event_id", F.lit(10)).cast("int")
+        return self._stateful(self.table("events").withColumns({"episode": e, "turn": turn}), e, max_turns=10)
+
+    # or the events of a user's day are; every fifth user is unknown, and their events are one long conversation
+    def day_steps(self) -> DataFrame:
+        known = F.col("user_id") % 5 != 0
+        day = F.when(known, F.concat_ws("|", "user_id", F.to_date("ts").cast("string")))
+        numbered = number_turns(self.table("events").withColumn("episode", day), "episode", ["event_id"])
+        return self._stateful(numbered, F.col("user_id"), max_turns=None)
+
+    def _stateful(self, events: DataFrame, e: Column, max_turns: int | None) -> DataFrame:
         purchased = F.col("event_type") == "purchase"
-        logged = self.table("events").select(
-            "event_id", "user_id", episode.alias("episode"),
-            F.pmod("event_id", F.lit(10)).cast("int").alias("turn"),
+        segment = F.element_at(F.array(*map(F.lit, ["new", "regular", "vip"])), (F.pmod(e, F.lit(3)) + 1).cast("int"))
+        category = F.element_at(F.array(*map(F.lit, conv.CATEGORIES)), (F.pmod(e, F.lit(4)) + 1).cast("int"))
+        described = events.select(
+            "event_id", "user_id", "episode", "turn",
             F.pmod(F.col("event_id") * 7 + F.col("user_id"), F.lit(6)).cast("int").alias("action"),
             purchased.alias("purchased"),
             (F.col("event_type") == "error").alias("escalated"),
             F.when(purchased, F.lit(0.95)).otherwise(F.least(F.lit(1.0), F.col("value") / 100.0))
             .alias("satisfaction_after"),
+            segment.alias("customer_segment"), category.alias("product_category"),
+            (F.pmod(e, F.lit(10)) < 3).alias("mentioned_issue"), (F.pmod(e, F.lit(10)) >= 6).alias("asked_about_price"),
         )
-        segment = F.element_at(F.array(*map(F.lit, ["new", "regular", "vip"])), (F.pmod(e, F.lit(3)) + 1).cast("int"))
-        category = F.element_at(F.array(*map(F.lit, conv.CATEGORIES)), (F.pmod(e, F.lit(4)) + 1).cast("int"))
-        described = logged.withColumns({
-            "customer_segment": segment, "product_category": category,
-            "mentioned_issue": F.pmod(e, F.lit(10)) < 3, "asked_about_price": F.pmod(e, F.lit(10)) >= 6,
-        })
-        stateful = previous_value(described, "episode", "turn", "satisfaction_after", 0.55, "satisfaction", max_turns=10)
+        stateful = previous_value(described, "episode", "turn", "satisfaction_after", 0.55, "satisfaction", max_turns=max_turns)
         reward = trajectory.step_reward(
             F.col("satisfaction"), F.col("satisfaction_after"), F.col("purchased"), F.col("escalated")
         )
