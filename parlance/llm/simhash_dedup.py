@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parlance.llm.common import LOWER, UPPER, column, written
+from parlance.llm.common import LOWER, ROW, UPPER, column, packed, unpacked, written
 from parlance.llm.components import components
 
 BITS = 64
@@ -57,14 +57,15 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) of every row; texts are read whole, as bytes."""
+    """(id, twin, fp) of every row; texts are read whole, as bytes. ``twin`` is a hash that tells apart texts that share an id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["id", "fp"])
+            found = [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.int64())], ["id", "twin", "fp"])
 
-    given = docs.select(column(id_col).cast("bigint").alias("id"), column(text_col).cast("binary").alias("text"))
-    return given.mapInArrow(run, "id bigint, fp bigint")
+    given = docs.select(
+        column(id_col).cast("bigint").alias("id"), F.xxhash64(column(text_col)).alias("twin"), column(text_col).cast("binary").alias("text"))
+    return given.mapInArrow(run, "id bigint, twin bigint, fp bigint")
 
 
 def _signed(value: int) -> int:
@@ -157,6 +158,21 @@ def near_links(nodes: DataFrame, radius: int, dense: int = DENSE) -> DataFrame:
     )
 
 
+def _grouped(docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: str, dense: int) -> DataFrame:
+    """(id, twin, fp, root, component_id) of every row; rows of one component share the root."""
+    rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    rooted = components(near_links(nodes.select("fp"), radius, dense))
+    member = rooted.select(F.col("node").alias("fp"), "root").unionAll(rooted.select(F.col("root").alias("fp"), "root").distinct())
+    linked = nodes.join(member, "fp").select("fp", "root", "least")
+    smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
+    of_linked = written(linked.join(smallest, "root").select("fp", "root", "component"), "members")
+    named = nodes.join(of_linked, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNotNull(), F.col("component")).otherwise(F.col("least")).alias("component_id"))
+    return rows.join(written(named, "named"), "fp", "left")
+
+
 def near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id", text_col: str = "text",
                     dense: int = DENSE) -> DataFrame:
     """One row per input row: id, fp (bigint) and component_id, the smallest id reachable over links.
@@ -166,23 +182,22 @@ def near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "d
     have one fingerprint. A NULL id is passed over when the smallest is sought. Other columns are
     not read; an empty table gives no rows.
     """
-    rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    rooted = components(near_links(nodes.select("fp"), radius, dense))
-    member = rooted.select(F.col("node").alias("fp"), "root").unionAll(rooted.select(F.col("root").alias("fp"), "root").distinct())
-    linked = nodes.join(member, "fp").select("fp", "root", "least")
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
-    of_linked = written(linked.join(smallest, "root").select("fp", "component"), "members")
-    named = nodes.join(of_linked, "fp", "left").select(
-        "fp", F.when(F.col("component").isNotNull(), F.col("component")).otherwise(F.col("least")).alias("component_id"))
-    return rows.join(written(named, "named"), "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")
+    return _grouped(docs, shingle, radius, id_col, text_col, dense).select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows and columns; of each component the document with the smallest id stays.
+def drop_near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id", text_col: str = "text",
+                         dense: int = DENSE) -> DataFrame:
+    """The input's rows and columns; of each component the document with the smallest id stays, a NULL id last.
 
-    Rows that share an id stay or go together: they go if one of them is not its component's smallest. Rows without an id stay.
+    If several texts of the component have that id, the one with the smallest hash stays. Rows that share id and text
+    are one document: they stay or go together.
     """
-    found = near_duplicates(docs.select(column(id_col), column(text_col)), shingle, radius, id_col, text_col)
-    gone = written(found.where(column(id_col) != F.col("component_id")).select(column(id_col).alias("gone")).distinct(), "dropped")
-    return docs.join(gone, column(id_col).cast("bigint") == F.col("gone"), "left_anti")
+    grouped = written(_grouped(docs, shingle, radius, id_col, text_col, dense), "grouped")
+    first = grouped.where("id <=> component_id")
+    shared = written(first.groupBy("root").agg(F.min("twin").alias("stays"), F.max("twin").alias("other")).where("stays != other"), "shared")
+    goes = grouped.where("NOT id <=> component_id").select("id", "twin").unionAll(
+        first.join(shared, "root").where("twin != stays").select("id", "twin"))
+    known = F.coalesce(F.col("id"), F.lit(-(2**63))).alias("known")
+    gone = written(goes.select(known, "twin").distinct(), "dropped")
+    rows = packed(docs, id=column(id_col).cast("bigint"), twin=F.xxhash64(column(text_col))).select(ROW, known, "twin")
+    return unpacked(rows.join(gone, ["known", "twin"], "left_anti"))

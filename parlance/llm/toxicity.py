@@ -192,9 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         column(id_col).cast("bigint").alias("labelled")).agg(F.max(column(label_col)).cast("int").alias("label"))
     share = min(1.0, max_documents / max(1, known.count()))
     sample = known.withColumnRenamed("labelled", id_col).where(draw <= share).withColumnRenamed(id_col, "labelled")
+    texts = docs.where(usable & (draw <= share)).select(column(id_col).cast("bigint").alias("labelled"), column(text_col).alias("text"))
     # The sample's ids are bounded by max_documents, whatever the table's size.
-    rows = docs.where(usable & (draw <= share)).join(
-        F.broadcast(sample), column(id_col).cast("bigint") == F.col("labelled")).select(column(text_col).alias("text"), "label")
+    rows = texts.join(F.broadcast(sample), "labelled").select("text", "label")
     rows = written(rows, "labelled")
     first = choose_features(rows, max_features)
     names = sorted(first)

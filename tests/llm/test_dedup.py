@@ -145,6 +145,28 @@ def test_near_duplicates_of_rows(spark):
     assert not {i for i, _, c in want if i is not None and i != c} & left
 
 
+def test_one_document_of_each_group_stays(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(4)]
+    near = [t + " end" for t in texts]
+    rows = [
+        (1, texts[0]), (None, near[0]),  # a copy without an id goes
+        (2, texts[1]), (2, near[1]), (2, texts[2]),  # copies and another text share an id
+        (None, texts[3]), (None, near[3]),  # no ids at all
+        (7, "w1 w2"), (7, "w1 w2"),  # one document, twice
+    ]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id bigint, text string, gone int, root int, known int")
+    values = [plain_fingerprint(t, 4) for _, t in rows]
+    roots = plain_components(values, 4)
+    assert roots[0] == roots[1] and roots[2] == roots[3] != roots[4] and roots[5] == roots[6]
+    got = simhash_dedup.drop_near_duplicates(docs, 4, 4)
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(kept) == 6 and kept.count((7, "w1 w2")) == 2 and (1, texts[0]) in kept and (2, texts[2]) in kept
+    assert sum(k in kept for k in rows[2:4]) == 1 and sum(k in kept for k in rows[5:7]) == 1
+
+
 def test_long_chain_has_one_root(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 500), (7, 7)], "a bigint, b bigint")
     found = components.components(links).collect()

@@ -96,9 +96,9 @@ def toxic_docs(spark):
 
 
 def test_toxicity(spark, toxic_docs):
-    docs = spark.createDataFrame([(i, t, 9) for i, t, _ in toxic_docs] + [(None, "alpha"), (7001, None), (7002, ""), (7003, "..."), (7004, "beta " * 50_000)]
-                                 and [(i, t, 9) for i, t, _ in toxic_docs] + [(None, "alpha", 9), (7001, None, 9), (7002, "", 9), (7003, "...", 9), (7004, "beta " * 50_000, 9)],
-                                 "doc_id bigint, text string, score int")
+    odd = [(None, "alpha"), (7001, None), (7002, ""), (7003, "..."), (7004, "beta " * 50_000)]
+    docs = spark.createDataFrame([(i, t, 9, 1, i) for i, t in [(i, t) for i, t, _ in toxic_docs] + odd],
+                                 "doc_id bigint, text string, score int, label int, labelled bigint")
     labels = spark.createDataFrame([(i, y) for i, _, y in toxic_docs] + [(None, 1), (3, None), (4, 0)], "doc_id bigint, toxic int")
     model = toxicity.train(docs, labels, F.col("doc_id") % 3 != 1)
     got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
