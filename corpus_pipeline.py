@@ -35,8 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    packed = packing.pack(docs)
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    return packing.pack(docs, ids=F.crc32("ids").alias("ids_crc32"))
 
 
 STAGES = [

@@ -1,10 +1,11 @@
 """Packing documents into sequences by the sum-of-squares rule.
 
-Each task tokenizes its own documents and packs them at once: nothing is shuffled, and a task
-that is run again gives the same sequences. A task holds ``lookahead`` pieces at a time and places
-them from long to short. A piece goes to the open sequence that leaves the smallest sum, over all
-residual gaps, of the squared count of open sequences with that gap; a new sequence is opened only
-if the piece fits nowhere. Open sequences are carried into the next pieces.
+Each task tokenizes its own documents. Their pieces are then dealt evenly over groups, so that a group holds the
+same mix of lengths whatever the input's split: the number of groups follows from the size of the texts alone. In
+a group, pieces are placed from long to short. A piece goes to the open sequence that leaves the smallest sum, over
+all residual gaps, of the squared count of open sequences with that gap; a new sequence is opened only if the piece
+fits nowhere. Both the dealing and the order in a group depend on the rows alone, so a task that is run again gives
+the same sequences.
 """
 
 from __future__ import annotations
@@ -18,17 +19,23 @@ import public_tokenizers
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parlance.llm.common import column
 
 CAPACITY = 2048
+# A group has about this many pieces and sequences at least; a last sequence that stays half empty is then one of many.
 LOOKAHEAD = 1 << 14
+SEQUENCES = 1 << 10
+BYTES_OF_TOKEN = 4
 # Long texts are tokenized in parts that end before a single space between two other characters;
 # such a place always lies between two pre-tokens.
 PART = 1 << 20
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, sequence_id bigint, offset bigint"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
+PLACE = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
 
 
 def load_tokenizer(path: str) -> tiktoken.Encoding:
@@ -84,41 +91,75 @@ class OpenSequences:
         return sequence, self.capacity - gap
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, vocabulary: str | None = None,
-         id_col: str = "doc_id", text_col: str = "text", lookahead: int = LOOKAHEAD) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids, sequence_id, offset.
-
-    ``ids`` holds the piece's tokens as little-endian unsigned 32-bit numbers; each document ends
-    with ``end_id``. Documents longer than a sequence are cut into full pieces after a first one that
-    may be shorter. A NULL or empty text is the end id alone. Repeated rows are packed each for itself. A NULL
-    id is kept; other columns are not read; an empty table gives no rows. Sequence ids are unique
-    across tasks. A task needs memory for ``lookahead`` pieces and its longest text.
-    """
+def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, vocabulary: str | None = None,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece, without a shuffle: doc_id, piece, start, length, ids."""
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
-        room = OpenSequences(capacity, TaskContext.get().partitionId() << 40)
         held: list[tuple] = []
 
-        def placed() -> Iterator[pa.RecordBatch]:
-            held.sort(key=lambda p: -p[3])
-            for at in range(0, len(held), 1024):
-                rows = [(*p, *room.place(p[3])) for p in held[at : at + 1024]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], _NAMES)
+        def cut() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _TYPES)], _NAMES)
             held.clear()
+            return made
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.append(encode(tokenizer, text.as_py()), np.array([end_id], "<u4"))
                 for piece, (start, length) in enumerate(pieces_of(len(ids), capacity)):
                     held.append((doc_id, piece, start, length, ids[start : start + length].tobytes()))
-                    if len(held) >= lookahead:
-                        yield from placed()
-        yield from placed()
+                    if len(held) >= 1024:
+                        yield cut()
+        if held:
+            yield cut()
 
     return docs.select(column(id_col).cast("bigint"), column(text_col)).mapInArrow(run, PIECES)
 
 
+def groups_for(docs: DataFrame, capacity: int = CAPACITY, text_col: str = "text", lookahead: int = LOOKAHEAD) -> int:
+    """How many groups keep some ``lookahead`` pieces and ``SEQUENCES`` sequences each, by the bytes of the texts."""
+    size = F.coalesce(F.octet_length(column(text_col)), F.lit(0)).cast("bigint")
+    n, more, size = docs.select(size.alias("b")).agg(
+        F.count(F.lit(1)), F.sum(F.expr(f"b div {BYTES_OF_TOKEN * capacity}")), F.sum("b")).first()
+    tokens = n + (size or 0) // BYTES_OF_TOKEN
+    return max(1, min((n + (more or 0)) // lookahead, tokens // (capacity * SEQUENCES)))
+
+
+def place(cut: DataFrame, groups: int, capacity: int = CAPACITY) -> DataFrame:
+    """The rows of pieces with sequence_id and offset; dealt evenly over so many groups, each packed in one task."""
+    rest = [column(c) for c in cut.columns if c != "length"]
+    dealt = cut.repartition(groups).sortWithinPartitions(F.desc("length"), *rest)
+    names = [*cut.columns, *(f.name for f in PLACE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room = OpenSequences(capacity, TaskContext.get().partitionId() << 40)
+        for batch in batches:
+            found = [room.place(n) for n in batch.column("length").to_pylist()]
+            added = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names)
+
+    return dealt.mapInArrow(run, T.StructType([*cut.schema.fields, *PLACE]))
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, vocabulary: str | None = None,
+         id_col: str = "doc_id", text_col: str = "text", lookahead: int = LOOKAHEAD, ids: Column | None = None) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids, sequence_id, offset.
+
+    ``ids`` holds the piece's tokens as little-endian unsigned 32-bit numbers; each document ends
+    with ``end_id``. Documents longer than a sequence are cut into full pieces after a first one that
+    may be shorter. A NULL or empty text is the end id alone. Repeated rows are packed each for itself. A NULL
+    id is kept; other columns are not read; an empty table gives no rows. Sequence ids are unique
+    across tasks. A column over ``ids`` may be given to go in their place, for example their crc32: the rows that are
+    shuffled are then narrow. A task needs memory for its longest text and the numbers of its open sequences. The sizes of
+    the texts are read once, at once, for the number of groups.
+    """
+    cut = pieces(docs, capacity, end_id, vocabulary, id_col, text_col)
+    if ids is not None:
+        cut = cut.select("doc_id", "piece", "start", "length", ids)
+    return place(cut, groups_for(docs, capacity, text_col, lookahead), capacity)
+
+
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]

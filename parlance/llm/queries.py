@@ -36,8 +36,7 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
-    packed = packing.pack(documents(spark, folder))
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    return packing.pack(documents(spark, folder), ids=F.crc32("ids").alias("ids_crc32"))
 
 
 def op6_shards(spark: SparkSession, folder: str) -> DataFrame:

@@ -107,6 +107,26 @@ def test_packing_needs_few_sequences():
     assert room.next_id <= 1.03 * sum(lengths) / 2048
 
 
+def test_packing_brings_clustered_lengths_together(spark):
+    # A document of n tokens, with its end; every partition holds documents of one length.
+    texts = [" ".join(["a"] * (n - 1)) for n in [1100] * 64 + [900] * 64]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for parts in (1, 16, 64):
+        got = packing.pack(docs.repartitionByRange(parts, "doc_id"), ids=F.crc32("ids").alias("crc")).collect()
+        assert sorted((r.doc_id, r.length) for r in got) == [(i, 1100 if i < 64 else 900) for i in range(128)]
+        assert len({r.sequence_id for r in got}) == 64
+
+
+def test_groups_follow_the_size_of_texts(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("some words " * 400).alias("text"))
+    assert packing.groups_for(docs, lookahead=1000) == 2
+    assert packing.groups_for(docs.repartition(50), lookahead=1000) == 2
+    got = packing.pack(docs, lookahead=1000, ids=F.crc32("ids").alias("crc"))
+    found = got.groupBy(F.shiftright("sequence_id", 40).alias("g")).count().collect()
+    assert len(found) == 2 and all(abs(r["count"] - 2500) <= 8 for r in found)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, got.collect()))
+
+
 def test_long_texts_in_parts():
     tokenizer = packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     rng = random.Random(2)
