@@ -14,10 +14,10 @@ from parlance.llm.common import documents, fold, word_count, written
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose language is clear; dictionaries are learned from the folds that are not held out."""
+    """Documents whose language is clear; dictionaries and margin are learned from the folds that are not held out."""
     labelled = docs.where(fold(F.col("doc_id"), 4) != 2)
-    learned = language_id.learn_dictionaries(labelled, F.col("text"), F.col("lang"), F.col("doc_id"))
-    return language_id.identify(docs, learned).where("NOT rejected").select("_row.*")
+    learned, margin = language_id.learn(labelled, F.col("text"), F.col("lang"), F.col("doc_id"))
+    return language_id.identify(docs, learned, margin=margin).where("NOT rejected").select("_row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

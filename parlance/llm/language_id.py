@@ -4,16 +4,21 @@ A text is in the language whose raw-content dictionary makes it smallest. Dictio
 sample: of every language the ``DOCUMENTS`` labelled documents with the smallest hash of their id,
 ``SAMPLE_CHARS`` code points from the middle of each. Texts are compressed whole, block by block, so the
 dictionary counts as much at the end of a long text as at its start.
+
+How much the best must save over the second best is learned from the same sample: each excerpt is compressed with the
+dictionaries of the other folds, once with and once without its own language.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,14 +32,16 @@ SMALL_BLOCK = 64
 CLEAR = 0.02
 LEVEL = 6
 UNKNOWN = "und"
-MARGIN = 0.001
+FOLDS = 4
+# Without a learned margin, what is narrow by ``CLEAR`` is rejected.
+MARGIN = CLEAR
 _BLANKS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 _LETTER = regex.compile(r"\p{L}")
 
 
-def learn_dictionaries(labelled: DataFrame, text: Column, lang: Column, id_col: Column,
-                       documents: int = DOCUMENTS, chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
-    """Language to dictionary content; the language with the most labelled documents first, then by code point.
+def excerpts(labelled: DataFrame, text: Column, lang: Column, id_col: Column,
+             documents: int = DOCUMENTS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
+    """Language to excerpts; the language with the most labelled documents first, then by code point.
 
     Rows without language, text or letters are passed over, as is the label ``und``. The sample is
     bounded by documents * chars for each language, and by an error beyond ``MAX_LANGUAGES`` languages.
@@ -53,7 +60,67 @@ def learn_dictionaries(labelled: DataFrame, text: Column, lang: Column, id_col:
     found: dict[str, list[str]] = {row["lang"]: [] for row in known}
     for row in sample.orderBy("lang", "k").toLocalIterator():
         found[row["lang"]].append(row["excerpt"])
-    return {lang: plain("\n".join(texts)) for lang, texts in found.items()}
+    return found
+
+
+def contents(found: dict[str, list[str]]) -> dict[str, bytes]:
+    return {lang: plain("\n".join(texts)) for lang, texts in found.items() if texts}
+
+
+def learn_dictionaries(labelled: DataFrame, text: Column, lang: Column, id_col: Column,
+                       documents: int = DOCUMENTS, chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
+    """Language to dictionary content, from ``excerpts``."""
+    return contents(excerpts(labelled, text, lang, id_col, documents, chars))
+
+
+def learn(labelled: DataFrame, text: Column, lang: Column, id_col: Column) -> tuple[dict[str, bytes], float]:
+    """Dictionaries and the margin that goes with them, from one sample."""
+    found = excerpts(labelled, text, lang, id_col)
+    return contents(found), learn_margin(labelled.sparkSession, found)
+
+
+def learn_margin(spark: SparkSession, found: dict[str, list[str]]) -> float:
+    """The score that best parts known from unknown languages.
+
+    Every excerpt is scored by the dictionaries of the other folds: with its own language it should be kept, if
+    labelled right, and without it rejected. With fewer than three languages nothing can be left out, and the
+    answer is ``MARGIN``.
+    """
+    trials = sorted((k % FOLDS, lang, text) for lang, texts in found.items() for k, text in enumerate(texts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, tuple[list[str], list[zstandard.ZstdCompressor]]] = {}
+        for batch in batches:
+            scored = []
+            for fold, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if fold not in made:
+                    others = contents({n: [t for k, t in enumerate(ts) if k % FOLDS != fold] for n, ts in found.items()})
+                    made[fold] = list(others), compressors(others)
+                names, tools = made[fold]
+                if lang in names and len(names) > 2:
+                    label, score = classify(text, names, tools)
+                    own = names.index(lang)
+                    scored.append((lang, label == lang, score))
+                    scored.append((lang, False, classify(text, names[:own] + names[own + 1 :], tools[:own] + tools[own + 1 :])[1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in scored], t) for k, t in enumerate((pa.string(), pa.bool_(), pa.float64()))], ["lang", "known", "score"])
+
+    if len(found) < 3:
+        return MARGIN
+    rows = spark.createDataFrame(trials, "fold int, lang string, text string").mapInArrow(run, "lang string, known boolean, score double")
+    return parting([tuple(row) for row in rows.collect()])
+
+
+def parting(scored: list[tuple[str, bool, float]]) -> float:
+    """The cut with the least sum of lost known and kept unknown texts, every language counting alike; in the widest gap of several."""
+    size = Counter((lang, known) for lang, known, _ in scored)
+    if {known for _, known in size} != {True, False}:
+        return MARGIN
+    # From the lowest cut on: all known are kept, and so are all unknown.
+    steps = sorted((score, 1 / size[lang, known] if known else -1 / size[lang, known]) for lang, known, score in scored)
+    errors = list(accumulate(step for _, step in steps))
+    gaps = [(round(e, 9), a - b, (a + b) / 2) for e, (a, _), (b, _) in zip(errors, steps, steps[1:]) if a < b]
+    return min(gaps)[2] if gaps else MARGIN
 
 
 def plain(text: str) -> bytes:

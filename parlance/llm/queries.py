@@ -90,8 +90,8 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     held_out = fold(F.col("doc_id"), 4) == 2
-    learned = language_id.learn_dictionaries(docs.where(~held_out), F.col("text"), F.col("lang"), F.col("doc_id"))
-    found = language_id.identify(docs, learned).withColumn("doc_id", F.col("_row.doc_id"))
+    learned, margin = language_id.learn(docs.where(~held_out), F.col("text"), F.col("lang"), F.col("doc_id"))
+    found = language_id.identify(docs, learned, margin=margin).withColumn("doc_id", F.col("_row.doc_id"))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 

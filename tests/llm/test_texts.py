@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parlance.llm import chat, language_id, quality_rules, token_counts, toxicity
+from parlance.llm.queries import QUERIES
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -167,6 +168,31 @@ def test_language(spark):
     assert {r.lang_pred for r in language_id.identify(docs, {}).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("unlearned", ["en", "es"])
+def test_a_language_that_was_not_learned_is_rejected(spark, tmp_path, unlearned):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs.withColumn("label", F.col("lang")).withColumn("lang", F.when(F.col("lang") != unlearned, F.col("lang")))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op10_language"](spark, str(tmp_path)).join(docs.select("doc_id", "label"), "doc_id").collect()
+    strange = [r for r in found if r.label == unlearned]
+    held = [r for r in found if r.label != unlearned and r.held_out]
+    assert sum(r.rejected for r in strange) >= 0.9 * len(strange) > 50
+    assert sum(not r.rejected and r.lang_pred == r.label for r in held) >= 0.95 * len(held) > 50
+
+
+def test_the_cut_parts_known_from_unknown():
+    scored = [("a", True, 0.5), ("a", True, 0.3), ("a", False, 0.1), ("a", False, 0.02), ("b", True, 0.4), ("b", False, 0.0)]
+    assert language_id.parting(scored) == 0.2
+    assert language_id.parting([]) == language_id.parting([("a", True, 0.5)]) == language_id.MARGIN
+    assert language_id.parting([("a", True, 0.5), ("a", False, 0.5)]) == language_id.MARGIN
+
+
+def test_margin_of_few(spark):
+    assert language_id.learn_margin(spark, {}) == language_id.MARGIN
+    assert language_id.learn_margin(spark, {"a": ["le chat"], "b": ["the cat"]}) == language_id.MARGIN
+    assert language_id.learn_margin(spark, {"a": ["le chat"], "b": ["the cat"], "c": ["die katze"]}) == language_id.MARGIN
+
+
 @settings(deadline=None, max_examples=200)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a</s>", "\\[INST]", ""]),
                           st.text(alphabet=st.sampled_from(list("\\<>/s[]INST ab\n😀")), max_size=30)
