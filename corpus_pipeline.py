@@ -35,7 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return packing.pack(docs, ids=F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(docs, ids=F.crc32("ids").alias("ids_crc32"), added=packing.ADDED)
 
 
 STAGES = [

@@ -36,7 +36,7 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(documents(spark, folder), ids=F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(documents(spark, folder), ids=F.crc32("ids").alias("ids_crc32"), added=packing.ADDED)
 
 
 def op6_shards(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from parlance.llm import mixing, packing, sharding
 from parlance.llm.common import WORD, word_count
+from parlance.llm.queries import QUERIES
 
 
 def mixed(spark, rows, **options):
@@ -135,6 +137,35 @@ def test_long_texts_in_parts():
         assert packing.encode(tokenizer, text, part).tolist() == tokenizer.encode_ordinary(text)
 
 
+MARK = "<|endoftext|>"
+MARKED = ["end <|endoftext|> x", MARK, MARK * 3, f"a{MARK}b \n {MARK}  c", f"  {MARK}\n", f"<|endoftext| >{MARK[:-1]}", "no mark", None, f"x {MARK} " * 900]
+
+
+def test_ids_are_those_of_the_json_as_loaded():
+    json = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {t.content: i for i, t in json.get_added_tokens_decoder().items()} == packing.ADDED
+    tokenizer = packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.ADDED)
+    rng = random.Random(3)
+    drawn = ["".join(rng.choice([MARK, "a", "bc", " ", "  ", "\n", "1", "'s", "é", "<|", "|>"]) for _ in range(60)) for _ in range(300)]
+    for text in MARKED + drawn:
+        for part in (7, packing.PART):
+            assert packing.encode(tokenizer, text, part).tolist() == json.encode(text or "", add_special_tokens=False).ids
+    with pytest.raises(ValueError):
+        packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), {"two words": 50256})
+
+
+def test_pack_queries_give_the_ids_of_the_json(spark, tmp_path):
+    json = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame(list(enumerate(MARKED)), "doc_id bigint, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for i, text in enumerate(MARKED):
+        ids = np.array(json.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        want += [(i, k, at, n, zlib.crc32(ids[at : at + n].tobytes())) for k, (at, n) in enumerate(packing.pieces_of(len(ids), 2048))]
+    for got in (QUERIES["op5_pack"](spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, docs, str(tmp_path))):
+        assert sorted(tuple(r)[:5] for r in got.collect()) == want
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
