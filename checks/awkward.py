@@ -69,6 +69,19 @@ def _(v):
     return trainlog.trailing_loss(logged).withColumn("avg_loss", rnd("avg_loss"))
 
 
+def _gapped_log(v: Views) -> DataFrame:
+    """Every event as a logged batch, numbered with gaps: after each fifth number two are left out."""
+    batch = F.col("event_id") + F.floor(F.col("event_id") / 5) * 2
+    return v.table("events").select(F.col("event_type").alias("epoch"), batch.alias("batch"), (F.col("value") / 100.0).alias("loss"))
+
+
+@query("trailing_loss_gaps_whole", f"""SELECT epoch, batch, {r('m')} AS avg_loss FROM (
+    SELECT epoch, batch, avg(loss) OVER (PARTITION BY epoch ORDER BY batch ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS m FROM (
+      SELECT event_type AS epoch, event_id + event_id // 5 * 2 AS batch, value/100::DOUBLE AS loss FROM events)) WHERE batch % 20 = 0""")
+def _(v):
+    return trainlog.trailing_loss(_gapped_log(v)).withColumn("avg_loss", rnd("avg_loss"))
+
+
 @query("step_rewards_user_days", with_(["daysteps"], f"SELECT event_id, turn, {r('satisfaction')} AS satisfaction, {r('reward')} AS reward FROM daysteps"))
 def _(v):
     return v.day_steps().select("event_id", "turn", rnd("satisfaction").alias("satisfaction"), rnd("reward").alias("reward"))

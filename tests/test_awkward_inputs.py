@@ -5,6 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+import checks.catalog  # noqa: F401
+from checks import awkward
 from parlance.functions.arithmetic import clip
 from parlance.functions.hashing import row_fingerprint
 from parlance.operators import cleaning, pairs, ranking, rebalance, sequences, trainlog, vocabulary
@@ -72,6 +74,14 @@ def test_nan_is_no_score(spark):
     assert trainlog.preference_accuracy(df, score="accuracy").first()["accuracy"] == 1.0
 
 
+def test_gapped_log_keeps_every_event(spark):
+    views = awkward.Views(spark, "/root/testdata/sf0.001")
+    assert "trailing_loss_gaps_whole" in awkward.SQL
+    log = awkward._gapped_log(views)
+    n, least, most = log.agg(F.countDistinct("batch"), F.min("batch"), F.max("batch")).first()
+    assert n == log.count() == views.table("events").count() and n < 0.8 * (most - least)
+
+
 def test_trailing_loss_counts_logged_rows(spark):
     rows = [(0, b, float(b)) for b in list(range(1, 20)) + [21, 40]] + [(None, b, 1.0) for b in range(1, 41)]
     df = spark.createDataFrame(rows, "epoch int, batch int, loss double")
