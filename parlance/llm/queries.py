@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parlance.llm import chat, exact_dedup, language_id, mixing, packing, quality_rules, sharding, simhash_dedup, token_counts, toxicity
-from parlance.llm.common import documents, fold, word_count, written
+from parlance.llm import (
+    chat, exact_dedup, exact_topk, language_id, mixing, packing, quality_rules, resampling, sharding, simhash_dedup, spelling, token_counts, toxicity,
+)
+from parlance.llm.common import LOWER, UPPER, documents, fold, word_count, written
 
 
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,11 +97,41 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_topk.exact_top_k(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    # Runs that are shorter than a word need not leave their text.
+    runs = F.regexp_extract_all("text", F.lit(f"[A-Za-z\u00c0-\u00ff]{{{spelling.MIN_CHARS},}}"), F.lit(0))
+    found = documents(spark, folder).select("doc_id", F.explode(runs).alias("run")).withColumn("run", F.translate("run", UPPER, LOWER))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    shorter = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
+    return spelling.variants(spelling.vocabulary(found, F.when(h % 199 == 0, shorter).otherwise(F.col("run"))))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_mix_sources, op3_quality_rules, op4_simhash, op5_pack, op6_shards, op7_toxicity, op8_chat, op9_exact_dedup, op10_language)}
+    op1_token_counts, op2_mix_sources, op3_quality_rules, op4_simhash, op5_pack, op6_shards, op7_toxicity, op8_chat, op9_exact_dedup, op10_language,
+    op11_resample, op12_exact_topk, op13_spelling)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# DuckDB has no crc32: a table of 256 remainders, and one step a byte.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n)) AS t)"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a short text's UTF-8 bytes; needs the column t of _CRC_TABLE."""
+    byte = f"list_transform(range(CAST(length(hex({text})) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(hex({text}), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(4294967295, list_reduce({byte}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295))"
+
+
 SQL = {
     "op3_quality_rules": f"""
         WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -147,6 +179,67 @@ SQL = {
             doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM d WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op11_resample": f"""
+        WITH {_CRC_TABLE},
+        docs AS (SELECT row_number() OVER () AS rid, doc_id,
+            regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        goal AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM benchmark),
+        own AS (SELECT rid, unnest(w) AS word FROM docs),
+        words AS (SELECT word, {_crc32('word')} % 10000 AS bucket FROM (SELECT word FROM own UNION SELECT word FROM goal), crc),
+        s AS (SELECT bucket, count(*) AS s FROM own JOIN words USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS t FROM goal JOIN words USING (word) GROUP BY bucket),
+        gains AS (
+            SELECT b.bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT count(*) FROM own) + 10000) AS DOUBLE)
+                / CAST((coalesce(s, 0) + 1) * ((SELECT count(*) FROM goal) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+            FROM (SELECT unnest(range(10000)) AS bucket) AS b LEFT JOIN s ON s.bucket = b.bucket LEFT JOIN t ON t.bucket = b.bucket),
+        sums AS (SELECT rid, sum(gain) AS gain FROM own JOIN words USING (word) JOIN gains USING (bucket) GROUP BY rid),
+        scored AS (
+            SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_features,
+                CAST(coalesce(floor(CAST(gain AS DOUBLE) / len(w)), 0) AS BIGINT) AS weight,
+                CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+            FROM docs LEFT JOIN sums USING (rid)),
+        noisy AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+        ranked AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM noisy WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * 10 // 100 THEN rank END AS rank FROM noisy LEFT JOIN ranked USING (rid)
+    """,
+    "op12_exact_topk": """
+        WITH v AS (
+            SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT q.rid, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.rid <> v.rid WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5
+    """,
+    "op13_spelling": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        runs AS (SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run
+            FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00c0-\u00ff]+')) AS run FROM documents) WHERE length(run) >= 6),
+        counted AS (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL),
+        hashed AS (SELECT run, k, {_crc32("(doc_id || ':' || run)")} AS h FROM counted, crc),
+        vocab AS (
+            SELECT word, CAST(sum(k) AS BIGINT) AS n
+            FROM (SELECT k, CASE WHEN h % 199 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word FROM hashed)
+            WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+        cut AS (SELECT DISTINCT word, i, word[: i - 1] AS head, word[i + 1 :] AS tail
+            FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+        near AS (
+            SELECT a.word, b.word AS other FROM cut AS a JOIN cut AS b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+            UNION SELECT cut.word, vocab.word FROM cut JOIN vocab ON vocab.word = head || tail
+            UNION SELECT vocab.word, cut.word FROM cut JOIN vocab ON vocab.word = head || tail),
+        best AS (
+            SELECT near.word, count(*) AS n_near, min((-b.n, other)) AS best FROM near JOIN vocab AS b ON b.word = other GROUP BY near.word),
+        forms AS (
+            SELECT word, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN -best[1] >= 5 * n THEN best[2] END AS form,
+                CASE WHEN -best[1] >= 5 * n THEN -best[1] END AS form_n
+            FROM vocab LEFT JOIN best USING (word)),
+        chain AS (
+            SELECT word, word AS at FROM vocab
+            UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL),
+        ends AS (SELECT chain.word, chain.at AS root FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+    """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -20,7 +20,7 @@ def docs(spark):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entries.queries())
-    assert [f"op{n}_" for n in range(1, 11)] == [q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"]
+    assert [f"op{n}_" for n in range(1, 14)] == [q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"]
 
 
 def test_stages_keep_the_columns(spark, docs):
