@@ -107,7 +107,7 @@ class Views:
         known = F.col("user_id") % 5 != 0
         day = F.when(known, F.concat_ws("|", "user_id", F.to_date("ts").cast("string")))
         numbered = number_turns(self.table("events").withColumn("episode", day), "episode", ["event_id"])
-        return self._stateful(numbered, F.col("user_id"), max_turns=None)
+        return self._stateful(numbered.withColumn("turn", F.col("turn").cast("int")), F.col("user_id"), max_turns=None)
 
     def _stateful(self, events: DataFrame, e: Column, max_turns: int | None) -> DataFrame:
         purchased = F.col("event_type") == "purchase"
@@ -143,7 +143,7 @@ class Views:
             F.datediff("ts", F.lit("2024-01-01")).alias("epoch"), "event_id", "event_type",
             (F.col("value") / 100.0).alias("loss"),
         )
-        return number_turns(e, "epoch", ["event_id"], "batch").withColumn("batch", F.col("batch") + 1)
+        return number_turns(e, "epoch", ["event_id"], "batch").withColumn("batch", (F.col("batch") + 1).cast("int"))
 
     def scored(self) -> DataFrame:
         signal = F.when(F.col("quality") == 1, F.lit(1.0)).otherwise(F.lit(-1.0))

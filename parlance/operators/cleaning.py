@@ -9,7 +9,8 @@ from pyspark.sql.window import Window
 
 from parlance.functions.hashing import null_if_nan
 from parlance.operators.quality import is_iso_timestamp, profile_totals, row_profile
-from parlance.operators.ranking import median_of
+from parlance.operators.ranking import as_literal, median_type
+from parlance.operators.selection import medians
 
 
 def _nan_to_null(df: DataFrame) -> DataFrame:
@@ -74,7 +75,9 @@ def most_frequent(df: DataFrame, columns: list[str]) -> DataFrame:
 def impute_missing(df: DataFrame) -> DataFrame:
     """Fill string columns with their mode and numeric columns with their exact median.
 
-    A numeric column with gaps becomes a double, or stays a decimal; one without keeps its type.
+    A numeric column with gaps becomes a double, a 64-bit integer one a decimal that holds every value and the
+    median exactly; decimals keep their type, to whose scale the median is rounded half up. Columns without gaps stay as they
+    are. All medians are found in the same few passes.
     """
     clean = _nan_to_null(df)
     strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -86,13 +89,12 @@ def impute_missing(df: DataFrame) -> DataFrame:
         for c in strings:
             filled[c] = F.coalesce(F.col(f"`{c}`"), modes.scalar()[c])
     if numbers:
-        # one small row tells which columns need a median at all; the others stay as they are
+        # one small row tells which columns need a median at all
         gaps = clean.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in numbers]).first().asDict()
-        for c in numbers:
-            if gaps[c]:
-                kind = clean.schema[c].dataType
-                kind = kind if isinstance(kind, T.DecimalType) else T.DoubleType()
-                filled[c] = F.coalesce(F.col(f"`{c}`").cast(kind), median_of(clean, c).scalar().cast(kind))
+        for c, median in medians(clean, [c for c in numbers if gaps[c]]).items():
+            kind = clean.schema[c].dataType
+            kind = kind if isinstance(kind, T.DecimalType) else median_type(kind)
+            filled[c] = F.coalesce(F.col(f"`{c}`").cast(kind), as_literal(median, kind))
     return clean.withColumns(filled) if filled else clean
 
 

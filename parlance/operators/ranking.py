@@ -1,6 +1,6 @@
 """Exact ranks, cut-offs and order statistics without a single-task sort.
 
-Two devices are used.
+Two devices are used here; order statistics and cut-offs are found by refining histograms (``selection``).
 
 * *Hash order.* A row key is hashed; the leading hex digits are a bucket number, so
   bucket order is hash order. Counts per bucket (at most 65,536 rows whatever the
@@ -15,17 +15,22 @@ Hash order assumes that ``key`` is unique; rows that share a key stay together.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from parlance.functions.hashing import digest, hash_bucket, null_if_nan, uniform
+from parlance.functions.hashing import digest, hash_bucket, uniform
+from parlance.operators import selection
 from parlance.operators.joins import same_keys
 from parlance.session import ensure_checkpoint_dir, freeze
 
 Order = list[tuple[str, bool]]  # (column, ascending)
 
+LARGEST = 1 << 20  # rows of a group that one window numbers
+FEW = 4096  # a cut-off of at most so many rows is found from the first rows of every task
 HEX_DIGITS = 4  # 65,536 buckets: offsets stay below a few MB, a bucket is 1/65,536 of the rows
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in 33 bits
 
@@ -146,94 +151,83 @@ def ordered_rank(df: DataFrame, order: Order, name: str = "rank") -> DataFrame:
     )
 
 
-def _missing(df: DataFrame, name: str) -> Column:
-    """1 for NULL and NaN, else 0."""
-    return null_if_nan(df, name).isNull().cast("int")
+def among_first(df: DataFrame, order: Order, size: int | Callable[[int], int]) -> Column:
+    """Whether a row of ``df`` is among the first ``size`` (or ``size(row count)``) of a given (unique) order; missing values come last.
 
-
-def among_first(df: DataFrame, order: Order, size: Callable[[Column], Column]) -> Column:
-    """Whether a row of ``df`` is among the first ``size(row count)`` of a given (unique) order; missing values come last.
-
-    Only the order columns are sorted and written. They give the last row inside, and every
-    row is then compared with it where it is: the table itself is not shuffled.
+    The cut-off row is found first: for a small fixed size in one pass, by what each task holds best, else by
+    refining histograms. Every row is then compared with it where it is: nothing is sorted, shuffled or written.
     """
-    # Each column becomes (is it missing, its value), so that no comparison meets a NULL by surprise.
-    parts = []
-    for i, (c, ascending) in enumerate(order):
-        parts += [(f"_m{i}", _missing(df, c), True), (f"_v{i}", null_if_nan(df, c), ascending)]
-    keys = df.select(*[value.alias(name) for name, value, _ in parts])
-    sort = [F.col(name).asc() if ascending else F.col(name).desc() for name, _, ascending in parts]
-    names = [name for name, _, _ in parts]
-    chunks = sorted_chunks(keys, sort, names)
-    whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counts = chunks.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
-    at = (
-        _running_offsets(counts, "_pid", "_n")
-        .withColumn("_total", F.sum("_n").over(whole))
-        .withColumn("_last", F.least(size(F.col("_total")), F.col("_total")) - 1)
-        .where((F.col("offset") <= F.col("_last")) & (F.col("_last") < F.col("offset") + F.col("_n")))
-        .select("_pid", (F.col("_last") - F.col("offset")).alias("_pos"))
-    )
-    last = chunks.join(F.broadcast(at), ["_pid", "_pos"]).select(F.struct(*names)).scalar()
-    inside = last.isNotNull()
-    for name, value, ascending in reversed(parts):
-        before = value < last[name] if ascending else value > last[name]
-        inside = F.coalesce(before, F.lit(False)) | (value.eqNullSafe(last[name]) & inside)
-    return F.coalesce(inside, F.lit(False))
+    if isinstance(size, int) and size <= FEW:
+        return _among_few(df, order, size)
+    last = selection.cut_off(df, order, size if callable(size) else lambda total: size)
+    return selection.inside(df, order, last)
+
+
+def _among_few(df: DataFrame, order: Order, size: int) -> Column:
+    """The same for a bounded size: each task keeps its first ``size`` keys, and the last of all is the cut-off."""
+    keys = df.select(*[selection.ordinal(df, c).alias(f"o{i}") for i, (c, _) in enumerate(order)])
+    names = keys.columns
+    sort = [F.asc_nulls_last(o) if ascending else F.desc_nulls_last(o) for o, (_, ascending) in zip(names, order)]
+    rank = F.row_number().over(Window.orderBy(*sort))  # over at most ``size`` rows
+    first = keys.orderBy(*sort).limit(size).withColumn("_rank", rank)
+    last = first.agg(F.max(F.struct("_rank", *names)).alias("last")).select("last").scalar()
+    within = F.lit(True)
+    for o, (c, ascending) in reversed(list(zip(names, order))):
+        x, cut = selection.ordinal(df, c), last[o]
+        before = F.when(cut.isNull(), x.isNotNull()).otherwise(F.coalesce(x < cut if ascending else x > cut, F.lit(False)))
+        within = before | (x.eqNullSafe(cut) & within)
+    return last.isNotNull() & within
 
 
 def ordered_split(df: DataFrame, order: Order, ratio: float = 0.8, name: str = "split") -> DataFrame:
     """Label the first ``int(n * ratio)`` rows of a given (unique) order 'train', the rest 'val'."""
-    first = among_first(df, order, lambda total: split_size(total, ratio))
+    first = among_first(df, order, lambda total: int(total * float(ratio)))
     return df.withColumn(name, F.when(first, F.lit("train")).otherwise(F.lit("val")))
 
 
-def number_turns(df: DataFrame, group: str, order: list[str], name: str = "turn") -> DataFrame:
-    """0-based position of each row within its group, also when one group is a third of the table.
+def number_turns(df: DataFrame, group: str, order: list[str], name: str = "turn", largest: int = LARGEST) -> DataFrame:
+    """0-based position of each row within its group, a bigint; NULL is a group, and missing values come first.
 
-    The range partitioning cuts long groups by their order columns. Only a partition's
-    first group can continue an earlier partition, so at most one carry per partition exists.
+    Groups are counted first. If none has more than ``largest`` rows, one window per group numbers them, else a
+    group that is a third of the table is cut by range partitions on its order columns. Of these keys alone is
+    sorted and written; rows then get their number by key, and rows that share a key follow each other.
     """
-    chunks = sorted_chunks(df, [F.col(c) for c in [group, *order]], list(df.columns))
-    pieces = chunks.groupBy("_pid", group).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    most = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    if most <= largest:
+        place = F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("bigint") - 1
+        return df.withColumn(name, place)
+    keys = [group, *order]
+    distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = sorted_chunks(distinct, [F.col(c) for c in keys], [*keys, "_n"])
+    upto = Window.partitionBy("_pid", group).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    placed = chunks.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    pieces = chunks.groupBy("_pid", group).agg(F.sum("_n").alias("_rows"))
     # every partition the group crosses gives one row here: at most one per partition
     earlier = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("_carry", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    return (
-        same_keys(chunks, pieces.select("_pid", group, "_start", "_carry"), ["_pid", group])
-        .withColumn(name, (F.col("_pos") - F.col("_start") + F.col("_carry")).cast("int"))
-        .select(*df.columns, name)
-    )
+    pieces = pieces.withColumn("_carry", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    first = same_keys(placed, pieces, ["_pid", group]).select(*keys, (F.col("_before") + F.col("_carry")).alias("_first"))
+    copy = F.row_number().over(Window.partitionBy(*keys).orderBy("_first")) - 1
+    return same_keys(df, first, keys).withColumn(name, (F.col("_first") + copy).cast("bigint")).select(*df.columns, name)
+
+
+def median_type(kind: T.DataType) -> T.DataType:
+    """The type that holds a median exactly: a double, or a decimal with one more digit for 64-bit integers and decimals."""
+    if isinstance(kind, T.LongType):
+        return T.DecimalType(20, 1)
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(kind.precision + 1, kind.scale + 1) if kind.precision < 38 else kind
+    return T.DoubleType()
 
 
 def median_of(df: DataFrame, column: str) -> DataFrame:
-    """One-row exact median of a numeric column (interpolated), NULL for an empty column.
+    """One-row exact median of a numeric column (the mean of the middle two), NULL for an empty column."""
+    value = selection.medians(df, [column])[column]
+    return df.sparkSession.range(1).select(as_literal(value, median_type(df.schema[column].dataType)).alias("median"))
 
-    Equal values are counted first, so a value held by a third of the rows is one row.
-    The distinct values are sorted and only the partition that holds the middle is looked
-    at row by row.
-    """
-    values = (
-        df.select(F.col(column).cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy("_v").agg(F.count(F.lit(1)).alias("_c"))
-    )
-    chunks = sorted_chunks(values, [F.col("_v")], ["_v", "_c"])
-    offsets = _running_offsets(chunks.groupBy("_pid").agg(F.sum("_c").alias("_n")), "_pid", "_n")
-    whole = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = (
-        offsets.withColumn("_total", F.sum("_n").over(whole))
-        .withColumn("_lo", F.floor((F.col("_total") - 1) / F.lit(2)))
-        .withColumn("_hi", F.floor(F.col("_total") / F.lit(2)))
-        # keep the one or two partitions that hold a middle position
-        .where((F.col("offset") <= F.col("_hi")) & (F.col("_lo") < F.col("offset") + F.col("_n")))
-    )
-    upto = Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        chunks.join(F.broadcast(offsets), "_pid")
-        .withColumn("_at", F.col("offset") + F.coalesce(F.sum("_c").over(upto), F.lit(0)))
-    )
-    holds = lambda p: (F.col("_at") <= F.col(p)) & (F.col(p) < F.col("_at") + F.col("_c"))
-    low = F.max(F.when(holds("_lo"), F.col("_v")))
-    high = F.max(F.when(holds("_hi"), F.col("_v")))
-    return placed.agg(((low + high) / F.lit(2.0)).alias("median"))
+
+def as_literal(value: float | Decimal | None, kind: T.DataType) -> Column:
+    """A number as a column of a type; a decimal is rounded half up to the type's scale."""
+    if isinstance(value, Decimal):
+        digits = Decimal(1).scaleb(-kind.scale) if isinstance(kind, T.DecimalType) else None
+        value = float(value) if digits is None else value.quantize(digits, ROUND_HALF_UP, selection.EXACT)
+    return F.lit(value).cast(kind)

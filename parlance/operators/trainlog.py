@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parlance.functions.arithmetic import bce_with_logits, clip, sigmoid
-from parlance.operators.ranking import number_turns
+from parlance.operators.joins import same_keys
 from parlance.operators.sequences import best_before
 
 # Fixed values.
@@ -34,23 +34,35 @@ def masked_token_loss(tokens: DataFrame, by: list[str], target: str = "target",
 
 
 def trailing_loss(batches: DataFrame, epoch: str = "epoch", batch: str = "batch", loss: str = "loss",
-                  every: int = 20) -> DataFrame:
+                  every: int = 20, chunk: int = 1 << 16) -> DataFrame:
     """Mean of the last ``every`` logged losses, reported at each batch whose number is a multiple of it.
 
-    Batches may be missing from the log. Rows are numbered, then cut into chunks that also hold the last rows
-    of the chunk before, so the short sliding window never spans a long epoch.
+    Batches may be missing from the log; a row without a number comes before all others. Rows are cut into chunks by
+    their numbers, and a sliding window never leaves its chunk, so a long epoch is spread. The first rows of a chunk
+    also count the last ones before it: of each chunk at most ``every`` - 1 losses are handed on, over as many
+    chunks as it takes where the log is thin. Losses that are missing count for nothing, but as rows.
     """
-    chunk = 65536 * every
-    rows = number_turns(batches.select(epoch, batch, loss), epoch, [batch], "_at").withColumn("_at", F.col("_at").cast("bigint"))
-    own = F.floor(F.col("_at") / F.lit(chunk))
-    reaches_on = F.pmod(F.col("_at"), F.lit(chunk)) >= chunk - every + 1
-    spread = rows.withColumn("_chunk", F.explode(F.when(reaches_on, F.array(own, own + 1)).otherwise(F.array(own))))
-    last = Window.partitionBy(epoch, "_chunk").orderBy("_at").rowsBetween(1 - every, 0)
-    return (
-        spread.withColumn("avg_loss", F.avg(loss).over(last))
-        .where((F.col("_chunk") == own) & (F.pmod(F.col(batch), F.lit(every)) == 0))
-        .select(epoch, batch, "avg_loss")
-    )
+    rows = batches.select(epoch, batch, F.col(loss).cast("double").alias("_loss"), F.floor(F.col(batch) / F.lit(chunk)).alias("_chunk"))
+    in_chunk = Window.partitionBy(epoch, "_chunk").orderBy(batch)
+    last = in_chunk.rowsBetween(1 - every, 0)
+    slid = rows.withColumns({
+        "_sum": F.sum("_loss").over(last), "_n": F.count("_loss").over(last), "_place": F.row_number().over(in_chunk),
+        "_lacks": F.lit(every) - F.count(F.lit(1)).over(last)})
+    reported = slid.where(F.pmod(F.col(batch), F.lit(every)) == 0)
+    from_end = F.row_number().over(Window.partitionBy(epoch, "_chunk").orderBy(F.col(batch).desc()))
+    ends = rows.withColumn("_from_end", from_end).where(F.col("_from_end") < every)
+    tails = ends.groupBy(epoch, "_chunk").agg(F.sort_array(F.collect_list(F.struct((-F.col("_from_end")).alias("at"), "_loss")))["_loss"].alias("_tail"))
+    # A chunk holds one row at least, so the chunks before that can matter are as few as the rows.
+    earlier = Window.partitionBy(epoch).orderBy("_chunk").rowsBetween(-max(1, every - 1), -1)
+    before = tails.select(epoch, "_chunk", F.flatten(F.collect_list("_tail").over(earlier)).alias("_before"))
+    whole = reported.where(F.col("_lacks") <= 0)
+    starts = same_keys(reported.where(F.col("_lacks") > 0), before, [epoch, "_chunk"])
+    handed = F.filter(F.slice(F.reverse("_before"), F.lit(1), F.col("_lacks").cast("int")), lambda x: x.isNotNull())
+    filled = starts.withColumn("_handed", handed).select(
+        epoch, batch, (F.coalesce("_sum", F.lit(0.0)) + F.aggregate("_handed", F.lit(0.0), lambda s, x: s + x)).alias("_sum"),
+        (F.col("_n") + F.size("_handed")).alias("_n"))
+    return whole.select(epoch, batch, "_sum", "_n").unionAll(filled).select(
+        epoch, batch, F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias("avg_loss"))
 
 
 def best_checkpoints(history: DataFrame, step: str = "epoch", accuracy: str = "accuracy",

@@ -51,7 +51,11 @@ def _delete_on_exit(spark: SparkSession) -> None:
 def freeze(df: DataFrame) -> DataFrame:
     """Compute a bounded artefact (a vocabulary, a model) once and read it back wherever it is used.
 
-    Written to the shared checkpoint folder, so it outlives executors.
+    Written to the shared checkpoint folder, so it outlives executors. What is frozen already is given back as it is.
     """
+    if getattr(df, "_frozen", False):
+        return df
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    frozen = df.checkpoint()
+    frozen._frozen = True
+    return frozen
