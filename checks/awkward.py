@@ -7,16 +7,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from checks import sqltext as S
-from checks.catalog import SQL, query, rnd
+from checks.catalog import SQL, _with_kl, joined, query, rnd
 from checks.sqltext import r, with_
 from checks.views import Views
-from parlance.operators import cleaning, drift, pairs, ranking, rebalance, sequences, trainlog, trajectory
+from parlance.functions.text import words
+from parlance.operators import cleaning, drift, pairs, ranking, rebalance, sequences, trainlog, trajectory, vocabulary
 from parlance.plans import quality_report as reports
-from parlance.session import ensure_checkpoint_dir
+from parlance.session import ensure_checkpoint_dir, freeze
 from parlance.sources import files
 
 # ---------------------------------------------------------------- sequences: a user-day is an episode
@@ -34,7 +35,7 @@ _DAYS = """WITH days AS (SELECT event_id, CASE WHEN user_id % 5 <> 0 THEN user_i
 
 @query("turns_of_user_days", f"""{_DAYS} SELECT event_id, (row_number() OVER (PARTITION BY episode ORDER BY event_id)-1)::INT AS number FROM days""")
 def _(v):
-    return ranking.number_turns(_user_days(v), "episode", ["turn"], "number").select("event_id", "number")
+    return ranking.number_turns(_user_days(v), "episode", ["turn"], "number").select("event_id", F.col("number").cast("int").alias("number"))
 
 
 @query("gain_over_gaps", f"""{_DAYS} SELECT event_id, {r('reward - coalesce(lag(reward) OVER (PARTITION BY episode ORDER BY event_id), 0)')} AS gain FROM days""")
@@ -60,15 +61,6 @@ def _(v):
     return sequences.best_before(_user_days(v), "episode", "turn", "reward", "best", chunk=200).select("event_id", "best")
 
 
-@query("trailing_loss_gaps", f"""SELECT epoch, batch, {r('m')} AS avg_loss FROM (
-    SELECT epoch, batch, avg(loss) OVER (PARTITION BY epoch ORDER BY batch ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS m FROM (
-      SELECT event_type AS epoch, event_id AS batch, value/100::DOUBLE AS loss FROM events WHERE event_id % 7 NOT IN (2, 3))) WHERE batch % 20 = 0""")
-def _(v):
-    logged = v.table("events").where(~(F.col("event_id") % 7).isin(2, 3)).select(
-        F.col("event_type").alias("epoch"), F.col("event_id").alias("batch"), (F.col("value") / 100.0).alias("loss"))
-    return trainlog.trailing_loss(logged).withColumn("avg_loss", rnd("avg_loss"))
-
-
 def _gapped_log(v: Views) -> DataFrame:
     """Every event as a logged batch, numbered with gaps: after each fifth number two are left out."""
     batch = F.col("event_id") + F.floor(F.col("event_id") / 5) * 2
@@ -146,6 +138,68 @@ def _(v):
     return cleaning.impute_missing(wide)
 
 
+_WIDE = """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN 12345678901234567890::HUGEINT + 2*doc_id*n_chars END AS wide,
+      CASE WHEN doc_id % 3 <> 0 THEN 9007199254740993::HUGEINT + doc_id * 7 END AS long FROM documents),
+    middle AS (SELECT (SELECT sum(wide)*10 // count(*) FROM (SELECT wide, row_number() OVER (ORDER BY wide)-1 AS r, count(*) OVER () AS n FROM d WHERE wide IS NOT NULL) WHERE r IN ((n-1)//2, n//2)) AS wide,
+      (SELECT sum(long)*10 // count(*) FROM (SELECT long, row_number() OVER (ORDER BY long)-1 AS r, count(*) OVER () AS n FROM d WHERE long IS NOT NULL) WHERE r IN ((n-1)//2, n//2)) AS long),
+    filled AS (SELECT doc_id, coalesce(d.wide*10, m.wide) AS wide, coalesce(d.long*10, m.long) AS long FROM d, middle m)"""
+
+
+def _wide(v: Views) -> DataFrame:
+    """Decimals of 20 digits and integers beyond 2^53, some missing; doubles would not tell them apart."""
+    wide = F.when(F.col("doc_id") % 5 != 0, F.lit("12345678901234567890").cast("decimal(38,0)") + F.col("doc_id") * F.col("n_chars") * 2)
+    long = F.when(F.col("doc_id") % 3 != 0, F.lit(9007199254740993) + F.col("doc_id") * 7)
+    return v.table("documents").select("doc_id", wide.cast("decimal(38,0)").alias("wide"), long.alias("long"))
+
+
+@query("impute_wide_decimals", f"""{_WIDE} SELECT doc_id, (wide // 10)::VARCHAR AS wide, (long // 10)||'.'||(long % 10) AS long FROM filled""")
+def _(v):
+    filled = cleaning.impute_missing(_wide(v))
+    return filled.select("doc_id", F.col("wide").cast("string").alias("wide"), F.col("long").cast("string").alias("long"))
+
+
+@query("median_wide_decimals", f"""{_WIDE} SELECT (wide // 10)::VARCHAR AS wide, (long // 10)||'.'||(long % 10) AS long FROM middle""")
+def _(v):
+    found = [ranking.median_of(_wide(v), c).select(F.col("median").cast("string").alias(c)) for c in ("wide", "long")]
+    return found[0].crossJoin(found[1])
+
+
+# ---------------------------------------------------------------- a vocabulary too large for one value
+
+_GRAMS = """lists AS (SELECT key AS doc_id, ws || list_transform(range(1, len(ws)), lambda i: ws[i]||'_'||ws[i+1])
+      || list_transform(range(1, len(ws)-1), lambda i: ws[i]||'_'||ws[i+1]||'_'||ws[i+2]) AS g FROM docwords WHERE ws IS NOT NULL),
+    grams AS (SELECT doc_id, unnest(g) AS token, generate_subscripts(g, 1) AS pos FROM lists),
+    gramvocab AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + 3 AS id FROM grams GROUP BY token)"""
+
+
+def _grams(v: Views) -> DataFrame:
+    """Each document's words, and its runs of two and three words as words of their own."""
+    def runs(ws: Column) -> Column:
+        starts = lambda n: F.when(F.size(ws) >= n, F.sequence(F.lit(1), F.size(ws) - (n - 1))).otherwise(F.array().cast("array<int>"))
+        of = lambda n: F.transform(starts(n), lambda i: F.array_join(F.slice(ws, i, F.lit(n)), "_"))
+        return F.array_join(F.concat(ws, of(2), of(3)), " ")
+
+    return v.documents().select("doc_id", F.transform(F.array(words(F.col("text"))), runs)[0].alias("text"))
+
+
+def _gram_vocab(texts: DataFrame) -> DataFrame:
+    return freeze(vocabulary.build_vocab(texts, "text", 5_000_000))
+
+
+@query("encode_large_vocab", _with_kl(["docwords"], _GRAMS, """SELECT doc_id, coalesce(ids, '2 3') AS ids FROM lists LEFT JOIN (
+    SELECT doc_id, '2 '||string_agg(id::VARCHAR, ' ' ORDER BY pos)||' 3' AS ids FROM grams JOIN gramvocab USING (token) GROUP BY doc_id) USING (doc_id)"""))
+def _(v):
+    texts = _grams(v)
+    return vocabulary.encode(texts, "doc_id", "text", _gram_vocab(texts), max_length=None).select("doc_id", joined("ids"))
+
+
+@query("decode_large_vocab", _with_kl(["docwords"], _GRAMS, """SELECT doc_id, coalesce(array_to_string(g, ' '), '') AS text FROM lists"""))
+def _(v):
+    texts = _grams(v)
+    vocab = _gram_vocab(texts)
+    return vocabulary.decode(vocabulary.encode(texts, "doc_id", "text", vocab, max_length=None), "doc_id", "ids", vocab)
+
+
 # ---------------------------------------------------------------- rebalancing
 
 
@@ -179,7 +233,7 @@ def _matched(v: Views) -> DataFrame:
 
 @query("oversample", f"SELECT doc_id, lang, copy::INT AS copy FROM ({_COPIES})")
 def _(v):
-    return _oversampled(v)
+    return _oversampled(v).withColumn("copy", F.col("copy").cast("int"))
 
 
 @query("stratified_match", _MATCHED)

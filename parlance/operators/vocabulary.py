@@ -1,16 +1,22 @@
 """Word counts, vocabulary, encoding and decoding.
 
-A vocabulary is a table ``(id, token, count)`` of at most ``size`` rows; that bound is
-what allows sending it to every task.
+A vocabulary is a table ``(id, token, count)`` of at most ``size`` rows. Up to ``MAX_LOOKUP`` rows of it travel to
+every task as one value. Of a larger one only its head does, the most frequent tokens; what a row holds
+beside them is joined with the rest, distinct words of a row only, so no frequent word is shuffled. The
+answer is the same either way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parlance.functions.text import words
+from parlance.operators.ranking import ordered_rank
+from parlance.session import freeze
 
 # The reserved ids.
 PAD, UNK, BOS, EOS = 0, 1, 2, 3
@@ -20,6 +26,7 @@ VOCAB_SIZE = 5000
 MAX_LENGTH = 256
 SLOTS = 1 << 14  # hash slots of a vocabulary lookup
 MAX_LOOKUP = 500_000  # tokens; some tens of MB in every task
+HEAD = 50_000  # tokens of a larger vocabulary that travel as one value
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -41,11 +48,17 @@ def _special_rows(df: DataFrame) -> DataFrame:
 def build_vocab(df: DataFrame, text: str, size: int = VOCAB_SIZE) -> DataFrame:
     """Special tokens, then the most frequent words; equal counts by token.
 
-    The top words are cut first (a bounded heap per task), then numbered.
+    The top words are cut first (a bounded heap per task), then numbered. A vocabulary that is too large to
+    travel as one value is numbered by range partitions instead, without a task that holds it all.
     """
-    top = word_counts(df, text).orderBy(F.desc("count"), "token").limit(size - len(SPECIAL_TOKENS))
-    rank = F.row_number().over(Window.orderBy(F.desc("count"), "token"))  # over at most ``size`` rows
-    ranked = top.select((rank + (len(SPECIAL_TOKENS) - 1)).cast("int").alias("id"), "token", "count")
+    counts, n = word_counts(df, text), size - len(SPECIAL_TOKENS)
+    if size > MAX_LOOKUP:
+        ranked = ordered_rank(freeze(counts), [("count", False), ("token", True)]).where(F.col("rank") < n)
+        ranked = ranked.select((F.col("rank") + len(SPECIAL_TOKENS)).cast("int").alias("id"), "token", "count")
+    else:
+        top = counts.orderBy(F.desc("count"), "token").limit(n)
+        rank = F.row_number().over(Window.orderBy(F.desc("count"), "token"))  # over at most ``size`` rows
+        ranked = top.select((rank + (len(SPECIAL_TOKENS) - 1)).cast("int").alias("id"), "token", "count")
     return _special_rows(df).unionByName(ranked)
 
 
@@ -60,10 +73,9 @@ def with_separator(vocab: DataFrame) -> DataFrame:
     return vocab.unionByName(row.where(F.col("present") == 0).drop("present"))
 
 
-def _bounded(value: Column) -> Column:
-    """The value, or an error that stops the job if the vocabulary is too large to travel as one."""
-    message = F.lit(f"a vocabulary of more than {MAX_LOOKUP} tokens cannot be looked up in one value")
-    return F.when(F.count(F.lit(1)) <= MAX_LOOKUP, value).otherwise(F.raise_error(message))
+def _travels(vocab: DataFrame) -> bool:
+    """Whether the vocabulary is small enough for one value; counted before anything is gathered."""
+    return vocab.select("id").limit(MAX_LOOKUP + 1).count() <= MAX_LOOKUP
 
 
 def _slot(token: Column | str) -> Column:
@@ -81,17 +93,46 @@ def _id_lookup(vocab: DataFrame) -> DataFrame:
     empty = vocab.sparkSession.range(SLOTS).select(
         F.col("id").cast("int").alias("slot"), F.lit(None).cast(filled.schema["entry"].dataType).alias("entry")
     )
-    size = vocab.agg(_bounded(F.lit(True))).scalar()
-    slots = filled.where(size).unionByName(empty).groupBy("slot").agg(F.collect_list("entry").alias("entries"))
+    slots = filled.unionByName(empty).groupBy("slot").agg(F.collect_list("entry").alias("entries"))
     in_order = F.array_sort(F.collect_list(F.struct("slot", "entries")))
     return slots.agg(F.transform(in_order, lambda s: F.map_from_entries(s["entries"])).alias("lookup"))
 
 
+def _pick(maps: Column, key: Column, slots: Column) -> Column:
+    """The value of a key in a map of small maps; as many of them as each holds entries, so both searches are short."""
+    return F.try_element_at(F.try_element_at(maps, _of(key, slots)), key)
+
+
+def _of(key: Column, slots: Column) -> Column:
+    return F.pmod(F.hash(key), slots)
+
+
+def _joined_lookup(df: DataFrame, arrays: list[str], wanted: Callable[[Column], Column], table: DataFrame) -> DataFrame:
+    """Add ``_maps``, what the table (key, value) says of a row's own keys, and ``_slots`` to look it up with.
+
+    ``wanted`` tells for an array which of its entries are to be sought. Distinct keys of a row go to the join, so
+    neither texts nor positions are exploded; the row's answers come back as one value. Rows are written once with a number.
+    """
+    own = F.array_distinct(F.flatten(F.array(*[wanted(F.col(f"`{a}`")) for a in arrays])))
+    rows = freeze(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), own.alias("_own"), F.monotonically_increasing_id().alias("_rid")))
+    slots = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_own")))).cast("int")
+    asked = rows.select("_rid", slots.alias("_slots"), F.explode("_own").alias("key"))
+    found = asked.join(table.select("key", "value"), "key")
+    entries = lambda k, v: F.map_from_entries(F.collect_list(F.struct(k, v)))
+    small = found.groupBy("_rid", _of(F.col("key"), F.col("_slots")).alias("_slot")).agg(entries("key", "value").alias("_map"))
+    maps = small.groupBy("_rid").agg(entries("_slot", "_map").alias("_maps"))
+    return rows.withColumn("_slots", slots).join(maps, "_rid", "left").select("_row.*", "_maps", "_slots")
+
+
 def word_ids(df: DataFrame, word_arrays: list[str], vocab: DataFrame) -> DataFrame:
     """Replace arrays of words by arrays of ids, unknown words by the UNK id.
 
-    A narrow projection: texts are neither exploded nor shuffled.
+    With a vocabulary that travels as one value this is a narrow projection: texts are neither exploded nor
+    shuffled. With a larger one, words outside its head are joined.
     """
+    vocab = freeze(vocab)
+    if not _travels(vocab):
+        return _word_ids_by_join(df, word_arrays, vocab)
     find = lambda w: F.coalesce(F.col("_lookup")[_slot(w)][w], F.lit(UNK))
     # one reference to the lookup, so that Spark folds it into this projection
     found = F.transform(F.array(*word_arrays), lambda ws: F.transform(ws, find))
@@ -103,6 +144,23 @@ def word_ids(df: DataFrame, word_arrays: list[str], vocab: DataFrame) -> DataFra
     )
 
 
+def _word_ids_by_join(df: DataFrame, word_arrays: list[str], vocab: DataFrame) -> DataFrame:
+    """Ids of the head's words by the value; the others keep their word until it was joined."""
+    others = [c for c in df.columns if c not in word_arrays]
+    known = lambda w: F.struct(F.col("_lookup")[_slot(w)][w].alias("id"), w.alias("word"))
+    found = F.transform(F.array(*word_arrays), lambda ws: F.transform(ws, known))
+    headed = (
+        df.withColumn("_lookup", _id_lookup(vocab.where(F.col("id") < HEAD)).scalar())
+        .select(*others, found.alias("_found"))
+        .select(*others, *[F.col("_found")[i].alias(c) for i, c in enumerate(word_arrays)])
+    )
+    unknown = lambda ws: F.filter(ws, lambda w: w["id"].isNull())["word"]
+    tail = vocab.where(F.col("id") >= HEAD).select(F.col("token").alias("key"), F.col("id").alias("value"))
+    joined = _joined_lookup(headed, word_arrays, unknown, tail)
+    place = lambda w: F.coalesce(w["id"], _pick(F.col("_maps"), w["word"], F.col("_slots")), F.lit(UNK))
+    return joined.select(*others, *[F.transform(c, place).alias(c) for c in word_arrays])
+
+
 def _specials(*ids: int) -> Column:
     return F.array(*[F.lit(i) for i in ids])
 
@@ -125,11 +183,19 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:
     """``key, text``: tokens joined by blanks without PAD, BOS and EOS; unknown ids give ``<UNK>``.
 
-    Vocabulary ids are 0, 1, 2, ..., so the tokens in id order are an array indexed by id.
+    Vocabulary ids are 0, 1, 2, ..., so the tokens in id order are an array indexed by id; a vocabulary too large for
+    one value sends its head so, and the distinct ids of a row beyond it are joined.
     """
-    by_id = F.transform(F.array_sort(F.collect_list(F.struct("id", "token"))), lambda e: e["token"])
     shown = F.filter(F.col(ids), lambda i: ~i.isin(PAD, BOS, EOS))
-    token = lambda i: F.coalesce(F.get(F.col("_tokens"), i), F.lit(SPECIAL_TOKENS[UNK]))
-    return df.withColumn("_tokens", vocab.agg(_bounded(by_id)).scalar()).select(
-        key, F.array_join(F.transform(shown, token), " ").alias("text")
-    )
+    unknown, vocab = F.lit(SPECIAL_TOKENS[UNK]), freeze(vocab)
+    whole = _travels(vocab)
+    head = vocab if whole else vocab.where(F.col("id") < HEAD)
+    tokens = head.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "token"))), lambda e: e["token"])).scalar()
+    rows = df.select(key, shown.alias("_shown"))
+    if whole:
+        find = lambda i: F.coalesce(F.get(F.col("_tokens"), i), unknown)
+    else:
+        tail = vocab.where(F.col("id") >= HEAD).select(F.col("id").alias("key"), F.col("token").alias("value"))
+        rows = _joined_lookup(rows, ["_shown"], lambda a: F.filter(a, lambda i: i >= HEAD), tail)
+        find = lambda i: F.coalesce(F.get(F.col("_tokens"), i), _pick(F.col("_maps"), i, F.col("_slots")), unknown)
+    return rows.withColumn("_tokens", tokens).select(key, F.array_join(F.transform("_shown", find), " ").alias("text"))

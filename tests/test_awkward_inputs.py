@@ -108,12 +108,24 @@ def test_fingerprints_do_not_depend_on_the_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_a_vocabulary_beyond_the_limit_stops_the_job(spark, monkeypatch):
-    monkeypatch.setattr(vocabulary, "MAX_LOOKUP", 2)
-    vocab = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "token string, id int")
-    df = spark.createDataFrame([(1, "a b")], "id int, text string")
-    with pytest.raises(Exception, match="more than 2 tokens"):
-        vocabulary.encode(df, "id", "text", vocab).collect()
+@pytest.mark.parametrize("head", [2, 5, 40, 10_000])
+def test_a_vocabulary_beyond_the_limit_is_joined(spark, monkeypatch, head):
+    words = [f"w{i}" for i in range(60)]
+    texts = [None, "", "w1 w1 nowhere w59", " ".join(words * 3), "nowhere", "w40 w41\tw40"] + [f"w{i} x{i} w{i % 7}" for i in range(80)]
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "id int, text string, key string").repartition(3)
+    vocab = vocabulary.with_separator(vocabulary.build_vocab(df, "text", 64))
+    small = {r.id: r.ids for r in vocabulary.encode(df, "id", "text", vocab, max_length=None, keep=("key",)).collect()}
+    pairs_small = sorted(map(str, pairs.sft_sequences(df, "id", "text", "text", vocab).collect()))
+    texts_small = sorted(map(str, vocabulary.decode(vocabulary.encode(df, "id", "text", vocab), "id", "ids", vocab).collect()))
+    monkeypatch.setattr(vocabulary, "MAX_LOOKUP", 10)
+    monkeypatch.setattr(vocabulary, "HEAD", head)
+    assert sorted(map(tuple, vocabulary.build_vocab(df, "text", 64).collect())) == sorted(map(tuple, vocab.where("token != '<SEP>'").collect()))
+    assert {r.id: r.ids for r in vocabulary.encode(df, "id", "text", vocab, max_length=None, keep=("key",)).collect()} == small
+    assert sorted(map(str, pairs.sft_sequences(df, "id", "text", "text", vocab).collect())) == pairs_small
+    encoded = vocabulary.encode(df, "id", "text", vocab)
+    assert sorted(map(str, vocabulary.decode(encoded, "id", "ids", vocab).collect())) == texts_small
+    beyond = spark.createDataFrame([(1, [4, 999_999, 0, 3, 1, None])], "id int, ids array<int>")
+    assert vocabulary.decode(beyond, "id", "ids", vocab).first().text.split(" ")[1:] == ["<UNK>"] * 2
 
 
 def test_rebalancing(spark):
@@ -128,3 +140,27 @@ def test_rebalancing(spark):
     counts = {r.label: r["count"] for r in rebalance.stratified_match(df, reference, "id", "label").groupBy("label").count().collect()}
     assert set(counts) == {"small", None} and counts[None] == pytest.approx(135, abs=35) and counts["small"] == 45
     assert rebalance.oversample(df.where("false"), "id", "label").count() == 0
+
+
+def test_one_row_against_many(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "rare"), (2, "many"), (3, "many")], "id int, label string")
+    copies = rebalance.oversample(df, "id", "label", 3_000_000)
+    found = {r.id: (r.n, r.first, r.last, r.other) for r in copies.groupBy("id").agg(
+        F.count("*").alias("n"), F.min("copy").alias("first"), F.max("copy").alias("last"), F.countDistinct("copy").alias("other")).collect()}
+    assert found == {1: (3_000_000, 0, 2_999_999, 3_000_000), 2: (1_500_000, 0, 1_499_999, 1_500_000), 3: (1_500_000, 0, 1_499_999, 1_500_000)}
+    assert copies.schema["copy"].dataType.simpleString() == "bigint"
+    monkeypatch.setattr(rebalance, "RUN", 7)
+    small = rebalance.oversample(df, "id", "label", 100).groupBy("id").agg(F.sort_array(F.collect_list("copy")).alias("c")).collect()
+    assert {r.id: r.c for r in small} == {1: list(range(100)), 2: list(range(50)), 3: list(range(50))}
+
+
+@pytest.mark.parametrize("largest", [3, 1 << 20])
+def test_turns_of_repeated_keys(spark, largest):
+    rows = [(g, t) for g in (None, 1, 2) for t in [0, 0, 0, 5, 7, None, None, *range(20, 300 if g == 1 else 24)]]
+    df = spark.createDataFrame([(g, t, i) for i, (g, t) in enumerate(rows)], "g int, t int, id int").repartition(6)
+    got = ranking.number_turns(df, "g", ["t"], largest=largest)
+    assert got.schema["turn"].dataType.simpleString() == "bigint"
+    for g in (None, 1, 2):
+        own = sorted((r for r in got.collect() if r.g == g), key=lambda r: r.turn)
+        assert [r.turn for r in own] == list(range(len(own))) and len(own) == sum(x == g for x, _ in rows)
+        assert [r.t for r in own] == sorted((t for x, t in rows if x == g), key=lambda t: (t is not None, t or 0))
