@@ -427,7 +427,8 @@ def _(v):
 
 @query("turn_numbers", """SELECT event_id, user_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id)-1)::INT AS turn FROM events""")
 def _(v):
-    return ranking.number_turns(v.table("events").select("event_id", "user_id"), "user_id", ["event_id"])
+    numbered = ranking.number_turns(v.table("events").select("event_id", "user_id"), "user_id", ["event_id"])
+    return numbered.withColumn("turn", F.col("turn").cast("int"))
 
 
 @query("pretrain_prep", with_(["trainids", "splitdocs"], """SELECT doc_id, split, array_to_string(list_slice(ids,1,len(ids)-1),' ') AS input_ids,
@@ -829,4 +830,33 @@ def _(v):
     ).withColumn("beats_majority", right >= majority)
 
 
+# Newton's method on the same penalised likelihood, written out for a bias and two weights.
+_FIT = """rated AS (SELECT doc_id, quality::DOUBLE AS y, ln(1 + n_chars::DOUBLE) - 7 AS x1, (lang = 'en')::INT::DOUBLE AS x2
+      FROM documents JOIN labels USING (doc_id)),
+    newton(k, b, w1, w2) AS (SELECT 0, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE UNION ALL
+      SELECT k + 1, b - (g0*(h11*h22-h12*h12) - g1*(h01*h22-h02*h12) + g2*(h01*h12-h02*h11)) / det,
+        w1 - (g1*(h00*h22-h02*h02) - g0*(h01*h22-h02*h12) - g2*(h00*h12-h01*h02)) / det,
+        w2 - (g2*(h00*h11-h01*h01) + g0*(h01*h12-h02*h11) - g1*(h00*h12-h01*h02)) / det
+      FROM (SELECT *, h00*(h11*h22-h12*h12) - h01*(h01*h22-h12*h02) + h02*(h01*h12-h11*h02) AS det FROM (
+        SELECT k, b, w1, w2, avg(p-y) AS g0, avg((p-y)*x1)+0.01::DOUBLE*w1 AS g1, avg((p-y)*x2)+0.01::DOUBLE*w2 AS g2, avg(s) AS h00, avg(s*x1) AS h01,
+          avg(s*x2) AS h02, avg(s*x1*x1)+0.01::DOUBLE AS h11, avg(s*x1*x2) AS h12, avg(s*x2*x2)+0.01::DOUBLE AS h22
+        FROM (SELECT *, p*(1-p) AS s FROM (SELECT *, 1/(1+exp(-(b+w1*x1+w2*x2))) AS p FROM newton, rated WHERE k < 12)) GROUP BY k, b, w1, w2))),
+    fitted AS (SELECT b, w1, w2 FROM newton WHERE k = 12)"""
+_RATED = lambda v: v.table("documents").join(v.table("labels"), "doc_id").select(
+    "doc_id", F.col("quality").cast("double").alias("label"), (F.ln(F.lit(1.0) + F.col("n_chars")) - 7).alias("length"),
+    (F.col("lang") == "en").cast("double").alias("english"))
+
+
+@query("preference_scorer_scores", f"WITH RECURSIVE {_FIT} SELECT doc_id, {r('b + w1*x1 + w2*x2', 4)} AS score FROM rated, fitted")
+def _(v):
+    rated = _RATED(v)
+    return scorer.fitted_scores(rated, rated, ["length", "english"]).select("doc_id", rnd("score", 4).alias("score"))
+
+
+@query("preference_scorer_weights", f"""WITH RECURSIVE {_FIT} SELECT unnest(['bias', 'length', 'english']) AS feature,
+    unnest([{r('b', 4)}, {r('w1', 4)}, {r('w2', 4)}]) AS weight FROM fitted""")
+def _(v):
+    return scorer.fit(_RATED(v), ["length", "english"]).withColumn("weight", rnd("weight", 4))
+
+
 from checks import awkward  # noqa: E402, F401  registers its queries

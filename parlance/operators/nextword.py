@@ -6,7 +6,9 @@ per-token totals at most one row per vocabulary entry.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -26,6 +28,32 @@ def token_pairs(encoded: DataFrame, *keep: str, ids: str = "ids") -> DataFrame:
     return shifted_pairs(next_token_pairs(encoded.select(*keep, F.col(ids).alias("_ids")), "_ids"), *keep)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body over a value that is computed once a row, however often the body's own lambdas refer to it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def distinct_pairs(encoded: DataFrame, *keep: str, ids: str = "ids") -> DataFrame:
+    """``prev, next, n`` of the distinct adjacent pairs of each sequence, counted in its own sorted array of pairs."""
+    def adjacent(whole: Column) -> Column:
+        return F.transform(F.slice(whole, F.lit(1), F.greatest(F.size(whole) - 1, F.lit(0))), lambda prev, i: F.struct(
+            prev.alias("prev"), F.get(whole, i + 1).alias("next")))
+
+    def with_starts(pairs: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: (i == 0) | (F.get(pairs, i) != F.get(pairs, i - 1)))
+        return F.struct(pairs.alias("pairs"), first.alias("starts"))
+
+    def counted(both: Column) -> Column:
+        pairs, starts = both["pairs"], both["starts"]
+        return F.transform(starts, lambda i, k: F.struct(
+            F.get(pairs, i)["prev"].alias("prev"), F.get(pairs, i)["next"].alias("next"),
+            (F.coalesce(F.get(starts, k + 1), F.size(pairs)) - i).cast("bigint").alias("n")))
+
+    in_order = F.array_sort(_let(F.col(ids), adjacent))
+    found = _let(_let(in_order, with_starts), counted)
+    return encoded.where(F.size(ids) > 1).select(*keep, F.inline(found))
+
+
 def pair_counts(encoded: DataFrame, ids: str = "ids") -> DataFrame:
     """``prev, next, n``; counted per task before the shuffle, so no pair is hot."""
     return token_pairs(encoded, ids=ids).groupBy("prev", "next").agg(F.count(F.lit(1)).alias("n"))
@@ -58,9 +86,13 @@ def _with_cost(pairs: DataFrame, model: DataFrame, vocab_size: int, smoothing: f
 
 def sequence_perplexity(encoded: DataFrame, key: str, model: DataFrame, vocab_size: int,
                         smoothing: float = SMOOTHING, ids: str = "ids") -> DataFrame:
-    """``key, tokens, nll, perplexity`` of each sequence under a bigram model."""
-    scored = _with_cost(token_pairs(encoded, key, ids=ids), model, vocab_size, smoothing)
-    return scored.groupBy(key).agg(F.count(F.lit(1)).alias("tokens"), F.avg("cost").alias("nll")).withColumn("perplexity", F.exp("nll"))
+    """``key, tokens, nll, perplexity`` of each sequence under a bigram model.
+
+    Pairs are counted inside their sequence first, so a sequence brings each of its distinct pairs to the join once.
+    """
+    scored = _with_cost(distinct_pairs(encoded, key, ids=ids), model, vocab_size, smoothing)
+    sums = scored.groupBy(key).agg(F.sum("n").alias("tokens"), (F.sum(F.col("cost") * F.col("n")) / F.sum("n")).alias("nll"))
+    return sums.withColumn("perplexity", F.exp("nll"))
 
 
 def perplexity_of_counts(counts: DataFrame, model: DataFrame, vocab_size: int, smoothing: float = SMOOTHING) -> DataFrame:

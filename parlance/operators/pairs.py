@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from parlance.functions.arithmetic import clip
 from parlance.functions.hashing import digest, standard_normal, uniform
 from parlance.functions.text import fill_template, labelled_context, words
 from parlance.operators.batching import IGNORE
+from parlance.operators.joins import same_keys
 from parlance.operators.ranking import among_first
 from parlance.operators.vocabulary import BOS, EOS, MAX_LENGTH, SEP_TOKEN, word_ids
 
@@ -106,7 +108,7 @@ def top_n_label(df: DataFrame, key: str, score: str = "quality_score", n: int =
 
     The cut-off row is found first; flagging is then a comparison, without a join.
     """
-    return df.withColumn(name, among_first(df, [(score, False), (key, True)], lambda total: F.lit(n)))
+    return df.withColumn(name, among_first(df, [(score, False), (key, True)], n))
 
 
 def label_averages(df: DataFrame, label: str = "is_good", score: str = "quality_score") -> DataFrame:
@@ -149,31 +151,35 @@ def preference_pairs(df: DataFrame, key: str, context: str = "context", response
                      n_contexts: int | None = None) -> DataFrame:
     """One good and one bad response per context that has both, each picked by seeded hash.
 
-    Picking is a minimum over a struct, so both sides come out of one aggregation with
-    partial minima per task: no pair is formed that is not kept, and a context holding a
-    third of the rows is one row per task in the shuffle.
+    The pick is a minimum of the hash, 60 bits of it as a number, per context and side: one aggregation in buffers
+    of fixed width, in which a context that holds a third of the rows is one row per task. Only the winners'
+    responses are then fetched, by context, side and hash, a key of the join that no context makes hot; where
+    hashes agree in 60 bits, the whole hash, the key and the response decide among the fetched.
     """
     rows = df
     if n_contexts is not None:
         chosen = first_contexts(df, key, n_contexts, context).select(context)
         rows = df.join(chosen, context, "left_semi")  # Spark broadcasts it if its bytes, not its rows, are few
     side = score_band(F.col(score)) if band is None else band
-    candidate = F.struct(
-        digest(seed, "pick", F.col(key)).alias("h"), F.col(key).alias("k"),
-        F.col(response).alias("response"), F.col(score).cast("double").alias("score"),
-    )
-    return (
-        rows.groupBy(context).agg(
-            F.min(F.when(side == "good", candidate)).alias("g"),
-            F.min(F.when(side == "bad", candidate)).alias("b"),
-        )
-        .where(F.col("g").isNotNull() & F.col("b").isNotNull())
-        .select(
-            context,
-            F.col("g.response").alias("good_response"), F.col("b.response").alias("bad_response"),
-            F.col("g.score").alias("good_score"), F.col("b.score").alias("bad_score"),
-        )
-    )
+    hashed = digest(seed, "pick", F.col(key))
+    leading = F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint")
+    # A generator of one row each: conditions on the side are not moved into the projections that compute the score.
+    drawn = rows.select(F.inline(F.array(F.struct(
+        F.col(context).alias("_context"), side.alias("_side"), leading.alias("_pick"), F.col(key).alias("_key"),
+        F.col(response).alias("_response"), F.col(score).cast("double").alias("_score")))))
+    drawn = drawn.where(F.col("_side").isin("good", "bad"))
+    least = lambda name: F.min(F.when(F.col("_side") == name, F.col("_pick"))).alias(name)
+    best = drawn.groupBy("_context").agg(least("good"), least("bad")).where("good IS NOT NULL AND bad IS NOT NULL")
+    wanted = best.select("_context", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_side"), F.col(name).alias("_pick")) for name in ("good", "bad")])))
+    # NULL is a context like any other.
+    fetched = same_keys(drawn, wanted, ["_context", "_side", "_pick"])
+    order = Window.partitionBy("_context", "_side").orderBy(digest(seed, "pick", F.col("_key")), "_key", "_response", "_score")
+    first = fetched.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    half = lambda name: first.where(F.col("_side") == name).select(
+        "_context", F.col("_response").alias(f"{name}_response"), F.col("_score").alias(f"{name}_score"))
+    return same_keys(half("good"), half("bad"), ["_context"]).select(
+        F.col("_context").alias(context), "good_response", "bad_response", "good_score", "bad_score")
 
 
 def preference_examples(pairs: DataFrame, context: str = "context") -> DataFrame:

@@ -1,9 +1,9 @@
-"""A preference scorer: logistic regression on hashed word counts."""
+"""A preference scorer: logistic regression on hashed word counts, or on columns that are given."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,3 +32,26 @@ def preference_scores(train: DataFrame, evaluate: DataFrame, text: str = "text",
     model = fit.fit(hashed_counts(train, text, dimensions).select(label, "features"))
     scored = model.transform(hashed_counts(evaluate, text, dimensions))
     return scored.withColumn("score", vector_to_array("rawPrediction")[1]).select(*evaluate.columns, "score")
+
+
+def _fit(train: DataFrame, features: list[str], label: str, regularisation: float) -> LogisticRegressionModel:
+    """The minimum of the mean loss plus half the squared weights times ``regularisation``; the bias is free."""
+    fit = LogisticRegression(labelCol=label, regParam=regularisation, standardization=False, maxIter=500, tol=1e-12)
+    return fit.fit(VectorAssembler(inputCols=features, outputCol="features").transform(train).select(label, "features"))
+
+
+def fit(train: DataFrame, features: list[str], label: str = "label", regularisation: float = 0.01) -> DataFrame:
+    """``feature, weight`` of a scorer on numeric columns without gaps, and its ``bias``."""
+    model = _fit(train, features, label, regularisation)
+    weights = [("bias", float(model.intercept)), *zip(features, map(float, model.coefficients))]
+    return train.sparkSession.createDataFrame(weights, "feature string, weight double")
+
+
+def fitted_scores(train: DataFrame, evaluate: DataFrame, features: list[str], label: str = "label",
+                  regularisation: float = 0.01) -> DataFrame:
+    """``evaluate`` with the logit ``score`` of a scorer on numeric columns, fitted on ``train``."""
+    model = _fit(train, features, label, regularisation)
+    score = F.lit(float(model.intercept))
+    for name, weight in zip(features, model.coefficients):
+        score = score + F.lit(float(weight)) * F.col(name)
+    return evaluate.withColumn("score", score)

@@ -190,3 +190,56 @@ def test_scorer_separates_clear_cases(spark):
 def test_scorer_keeps_missing_texts(spark):
     df = spark.createDataFrame([("good", 1.0), ("bad", 0.0), (None, 1.0), (None, 0.0)], "text string, label double")
     assert scorer.preference_scores(df, df, dimensions=16).count() == 4
+
+
+def test_scorer_is_the_minimum_of_its_objective(spark):
+    import numpy as np
+
+    from parlance.operators import scorer
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    y = (rng.random(300) < 1 / (1 + np.exp(-(0.4 + x @ [1.0, -2.0, 0.3])))).astype(float)
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame([(float(t), *map(float, r)) for t, r in zip(y, x)], "label double, a double, b double, c double")
+    w = np.zeros(4)
+    rows = np.column_stack((np.ones(300), x))
+    penalty = np.diag([0.0, 0.01, 0.01, 0.01])
+    for _ in range(30):  # iteratively reweighted least squares
+        p = 1 / (1 + np.exp(-rows @ w))
+        w -= np.linalg.solve(rows.T @ (rows * (p * (1 - p))[:, None]) / 300 + penalty, rows.T @ (p - y) / 300 + penalty @ w)
+    got = {r.feature: r.weight for r in scorer.fit(df, names).collect()}
+    assert [got[c] for c in ["bias", *names]] == pytest.approx(w.tolist(), abs=1e-5)
+    scored = scorer.fitted_scores(df, df, names).collect()
+    assert [r.score for r in scored] == pytest.approx([w[0] + w[1] * r.a + w[2] * r.b + w[3] * r.c for r in scored], abs=1e-4)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 20, 1 << 16])
+@pytest.mark.parametrize("every", [1, 2, 20])
+def test_trailing_loss_over_chunks(spark, chunk, every):
+    import random
+
+    rng = random.Random(chunk * 100 + every)
+    numbers = sorted(rng.sample(range(-40, 400), 150)) + [1000, 1020, 5000, 5019, 5040]
+    rows = [(e, b, rng.choice([None, rng.random()])) for e in (0, None) for b in numbers] + [(0, None, 7.0)]
+    df = spark.createDataFrame(rows, "epoch int, batch int, loss double").repartition(4)
+    got = {(r.epoch, r.batch): r.avg_loss for r in trainlog.trailing_loss(df, every=every, chunk=chunk).collect()}
+    want = {}
+    for e in (0, None):
+        own = sorted((r for r in rows if r[0] == e), key=lambda r: (r[1] is not None, r[1] or 0))
+        for i, (_, b, _) in enumerate(own):
+            if b is not None and b % every == 0:
+                last = [x for _, _, x in own[max(0, i + 1 - every) : i + 1] if x is not None]
+                want[e, b] = sum(last) / len(last) if last else None
+    assert got == {k: v if v is None else pytest.approx(v) for k, v in want.items()}
+
+
+def test_preference_pick_of_repeated_and_missing_keys(spark):
+    import hashlib
+
+    rows = [("hot", i, "good" if i % 3 else "bad", f"r{i}") for i in range(300)] + [(None, 5, "good", "x"), (None, 6, "bad", "y"), ("one", 7, "good", "z")]
+    rows += [("twin", 9, "good", b) for b in "cab"] + [("twin", 9, "bad", b) for b in "fe"] + [("odd", None, "good", "n"), ("odd", 2, "bad", None)]
+    df = spark.createDataFrame(rows, "context string, id int, side string, response string").withColumn("quality_score", F.lit(1.0)).repartition(5)
+    got = {r.context: (r.good_response, r.bad_response) for r in pairs.preference_pairs(df, "id", band=F.col("side")).collect()}
+    pick = lambda side: min(((hashlib.md5(f"42:pick:{i}".encode()).hexdigest(), i, r) for c, i, s, r in rows if c == "hot" and s == side))[2]
+    assert got["hot"] == (pick("good"), pick("bad")) and got[None] == ("x", "y") and got["twin"] == ("a", "e") and "one" not in got
