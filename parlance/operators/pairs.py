@@ -173,13 +173,14 @@ def preference_pairs(df: DataFrame, key: str, context: str = "context", response
     wanted = best.select("_context", F.inline(F.array(*[
         F.struct(F.lit(name).alias("_side"), F.col(name).alias("_pick")) for name in ("good", "bad")])))
     # NULL is a context like any other.
-    fetched = same_keys(drawn, wanted, ["_context", "_side", "_pick"])
+    fetched = same_keys(drawn, wanted, ["_context", "_side", "_pick"]).repartition("_context")
     order = Window.partitionBy("_context", "_side").orderBy(digest(seed, "pick", F.col("_key")), "_key", "_response", "_score")
     first = fetched.withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    half = lambda name: first.where(F.col("_side") == name).select(
-        "_context", F.col("_response").alias(f"{name}_response"), F.col("_score").alias(f"{name}_score"))
-    return same_keys(half("good"), half("bad"), ["_context"]).select(
-        F.col("_context").alias(context), "good_response", "bad_response", "good_score", "bad_score")
+    # 'bad' comes before 'good'; a context has one row of either by now.
+    other = F.lead(F.struct("_response", "_score")).over(Window.partitionBy("_context").orderBy("_side"))
+    return first.withColumn("_good", other).where("_side = 'bad'").select(
+        F.col("_context").alias(context), F.col("_good._response").alias("good_response"), F.col("_response").alias("bad_response"),
+        F.col("_good._score").alias("good_score"), F.col("_score").alias("bad_score"))
 
 
 def preference_examples(pairs: DataFrame, context: str = "context") -> DataFrame:

@@ -155,7 +155,8 @@ def among_first(df: DataFrame, order: Order, size: int | Callable[[int], int]) -
     """Whether a row of ``df`` is among the first ``size`` (or ``size(row count)``) of a given (unique) order; missing values come last.
 
     The cut-off row is found first: for a small fixed size in one pass, by what each task holds best, else by
-    refining histograms. Every row is then compared with it where it is: nothing is sorted, shuffled or written.
+    refining histograms over the order columns, written once. Every row is then compared with it where it is:
+    nothing is sorted or shuffled.
     """
     if isinstance(size, int) and size <= FEW:
         return _among_few(df, order, size)

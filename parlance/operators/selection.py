@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parlance.session import freeze
+
 PARTS = 1 << 14
 STALLED = 16  # a part that keeps more than one row in so many is cut differently the next time
 _PREFIX = 6  # bytes of a text that one pass tells apart
@@ -216,8 +218,10 @@ def cut_off(df: DataFrame, order: list[tuple[str, bool]], size: Callable[[int],
     One column after the other: a value is found by its rank, and only if the rows that share it are not all
     inside, they are ranked by the next column. The list may so be shorter than the order: rows equal in it
     are inside. True if all rows are inside, False if none is. A MISSING entry stands for rows without a value.
+    The ordinals alone are written once, so that no pass computes the table again.
     """
     rows = df.select(*[ordinal(df, c).alias(f"o{i}") for i, (c, _) in enumerate(order)])
+    rows = freeze(rows)
     found: list[Any] = []
     left: int | None = None
     for i, (_, ascending) in enumerate(order):
