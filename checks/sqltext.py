@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from parlance.operators import pairs
 from parlance.sources import conversations as conv
 
 WS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -75,12 +74,45 @@ def quarter(ts: str) -> str:
     )
 
 
+# Fixed values, written out on their own so that a wrong table of the library shows.
+RESPONSE_TEMPLATES = {
+    "positive": [
+        "I'm glad you're interested! I recommend {product} which has excellent reviews.",
+        "Great choice! Our {product} is highly rated for {quality}.",
+        "Perfect! I suggest {product} - it's one of our best sellers.",
+    ],
+    "neutral": [
+        "I can help you with that. I recommend {product} for your needs.",
+        "Let me suggest {product} which fits your requirements.",
+        "I'd recommend {product} based on what you're looking for.",
+    ],
+    "negative": [
+        "I understand your frustration. Let me help you find {product} with {quality}.",
+        "I apologize for the issue. I recommend {product} which has {quality}.",
+        "I'm sorry about that. Our {product} has excellent {quality} ratings.",
+    ],
+}
+PRODUCTS = {
+    "Electronics": ["TechPro Laptop", "UltraSound Headphones", "SmartView Monitor"],
+    "Clothing": ["TrekPro Jeans", "ComfortFit Shirt", "ActiveWear Jacket"],
+    "Home": ["DuraClean Vacuum", "SmartCook Blender", "CozyComfort Sofa"],
+    "Sports": ["TrailRunner Shoes", "FlexFit Yoga Mat", "PowerLift Weights"],
+}
+QUALITIES = [
+    "excellent durability",
+    "high customer ratings",
+    "premium quality materials",
+    "outstanding performance",
+    "long warranty coverage",
+]
+
+
 def _sft() -> str:
     by_sentiment = " ".join(
-        f"WHEN {q(s)} THEN {choose(t, q('42:template:') + '||id')}" for s, t in pairs.RESPONSE_TEMPLATES.items()
+        f"WHEN {q(s)} THEN {choose(t, q('42:template:') + '||id')}" for s, t in RESPONSE_TEMPLATES.items()
     )
     by_category = " ".join(
-        f"WHEN {q(c)} THEN {choose(p, q('42:product:') + '||id')}" for c, p in pairs.PRODUCTS.items()
+        f"WHEN {q(c)} THEN {choose(p, q('42:product:') + '||id')}" for c, p in PRODUCTS.items()
     )
     return f"""SELECT id, context, response,
       round(least(greatest(3.5::DOUBLE
@@ -90,7 +122,7 @@ def _sft() -> str:
     FROM (SELECT id, sentiment,
         'Category: '||product_category||', Sentiment: '||sentiment||', Outcome: '||outcome||', Message: '||conversation_text AS context,
         replace(replace(CASE sentiment {by_sentiment} END, '{{product}}', CASE product_category {by_category} END),
-          '{{quality}}', {choose(pairs.QUALITIES, q('42:quality:') + '||id')}) AS response
+          '{{quality}}', {choose(QUALITIES, q('42:quality:') + '||id')}) AS response
       FROM train)"""
 
 
