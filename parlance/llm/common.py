@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from parlance.session import ensure_checkpoint_dir
 
+# Spark's setting for the bytes of one batch that goes to a Python task, its default, and what whole texts get here.
+_BATCH, _DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 << 20
 # A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 ROW = "_row"
@@ -31,13 +33,24 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sent(df: DataFrame) -> DataFrame:
+    """The table, whose batches will hold about ``BATCH_BYTES`` when a Python task reads them, and a row at least.
+
+    A task keeps several forms of a batch of texts at once. A session that has a bound of its own keeps it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH) == _DEFAULT_BATCH:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
 def packed(df: DataFrame, **computed: Column) -> DataFrame:
     """All columns as one struct beside the computed ones, so that no name of the input can clash."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), *[c.alias(n) for n, c in computed.items()])
+    return df.select(F.struct(*[column(c) for c in df.columns]).alias(ROW), *[c.alias(n) for n, c in computed.items()])
 
 
 def unpacked(df: DataFrame) -> DataFrame:
@@ -45,7 +58,8 @@ def unpacked(df: DataFrame) -> DataFrame:
 
 
 def column(name: str) -> Column:
-    return F.col(f"`{name}`")
+    """The column of that name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def word_count(text: Column) -> Column:

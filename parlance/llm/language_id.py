@@ -22,11 +22,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parlance.llm.common import column
+from parlance.llm.common import column, packed, sent
 
 DOCUMENTS = 200
 SAMPLE_CHARS = 1024
-MAX_LANGUAGES = 1000
+MAX_LANGUAGES = 200  # 40 MB of dictionaries in a task at most
 BLOCK = 4096
 SMALL_BLOCK = 64
 CLEAR = 0.02
@@ -162,21 +162,19 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
 
     A NULL text or one without a letter is ``und`` with score 0, and rejected. Otherwise the text gets the language
     of the smallest result; ties go to the language learned from more documents. It is rejected if the best saves less than
-    ``margin`` over the second best. With no language learned, all is ``und``. Repeated rows get the same
-    answer each; an empty table gives no rows.
+    ``margin`` over the second best. With no language learned, all is ``und``. Texts are compressed whole, in blocks, so
+    a very long one needs memory for itself alone. Repeated rows get the same answer each; an empty table gives no rows.
+    Rows stay where they are: only their texts go to the Python task, once, and only the answers come back.
     """
     names = list(dictionaries)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tools = compressors(dictionaries)
-        for batch in batches:
-            found = [classify(text.as_py(), names, tools) for text in batch.column(1)]
-            langs, scores = [f[0] for f in found], [f[1] for f in found]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
-                pa.array([n == UNKNOWN or s < margin for n, s in found], pa.bool_()),
-            ], ["_row", "lang_pred", "score", "rejected"])
-
-    given = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("_row"), column(text_col).alias("text"))
-    kind = given.schema["_row"].dataType.simpleString()
-    return given.mapInArrow(run, f"_row {kind}, lang_pred string, score double, rejected boolean")
+        for texts in batches:
+            found = [classify(text.as_py(), names, tools) for text in texts]
+            yield pa.StructArray.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.string(), pa.float64()))], ["lang_pred", "score"])
+
+    # Said to be nondeterministic, so that a condition on the answer is not a second call.
+    answer = F.arrow_udf(run, "lang_pred string, score double").asNondeterministic()
+    found = packed(sent(docs), found=answer(column(text_col))).select("_row", "found.*")
+    return found.withColumn("rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < margin))

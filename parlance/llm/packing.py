@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parlance.llm.common import column
+from parlance.llm.common import column, sent
 
 CAPACITY = 2048
 # A group has about this many pieces and sequences at least; a last sequence that stays half empty is then one of many.
@@ -34,6 +34,9 @@ BYTES_OF_TOKEN = 4
 # such a place always lies between two pre-tokens.
 PART = 1 << 20
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+# White space as the tokenizer's pattern knows it; longer runs are taken apart from the pattern, which tries them again and again.
+LONG_BLANK = 1 << 16
+_BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The added token of byte_bpe_50k.json, which is not in the file of ranks.
 ADDED = {"<|endoftext|>": 50256}
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
@@ -54,14 +57,27 @@ def load_tokenizer(path: str, added: dict[str, int] | None = None) -> tiktoken.E
     return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added or {})
 
 
-def encode(tokenizer: tiktoken.Encoding, text: str | None, part: int = PART) -> np.ndarray:
-    """All ids of the text, without a limit on its length."""
+def encode(tokenizer: tiktoken.Encoding, text: str | None, part: int = PART, long_blank: int = LONG_BLANK) -> np.ndarray:
+    """All ids of the text, without a limit on its length or on its runs of white space.
+
+    A run of white space before another character is one pre-token without its last character, and before an added token
+    or at the end of the text it is one as a whole. Long runs are encoded so, as single pre-tokens.
+    """
     text, found, at = text or "", [], 0
+    for run in re.finditer(f"[{_BLANK}]{{{long_blank},}}", text):
+        found += _encoded(tokenizer, text[at : run.start()], part)
+        at = run.end() if run.end() == len(text) or text.startswith(tuple(tokenizer.special_tokens_set), run.end()) else run.end() - 1
+        if at > run.start():
+            found.append(np.array(tokenizer._encode_single_piece(text[run.start() : at]), "<u4"))
+    return np.concatenate([*found, *_encoded(tokenizer, text[at:], part)]).astype("<u4", copy=False)
+
+
+def _encoded(tokenizer: tiktoken.Encoding, text: str, part: int) -> list[np.ndarray]:
+    found, at = [], 0
     while len(text) - at > part and (cut := _CUT.search(text, at + part)):
         found.append(tokenizer.encode_to_numpy(text[at : cut.start()], allowed_special="all"))
         at = cut.start()
-    found.append(tokenizer.encode_to_numpy(text[at:], allowed_special="all"))
-    return np.concatenate(found).astype("<u4", copy=False)
+    return [*found, tokenizer.encode_to_numpy(text[at:], allowed_special="all")]
 
 
 def pieces_of(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -120,7 +136,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, vocabular
         if held:
             yield cut()
 
-    return docs.select(column(id_col).cast("bigint"), column(text_col)).mapInArrow(run, PIECES)
+    return sent(docs.select(column(id_col).cast("bigint"), column(text_col))).mapInArrow(run, PIECES)
 
 
 def groups_for(docs: DataFrame, capacity: int = CAPACITY, text_col: str = "text", lookahead: int = LOOKAHEAD) -> int:
@@ -157,7 +173,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, vocabulary:
     with ``end_id``. The strings of ``added`` tokens in a text become their ids, for example with ``ADDED`` as
     ``tokenizers`` does; by default they are ordinary text. Documents longer than a sequence are cut into full pieces after a first one that
     may be shorter. A NULL or empty text is the end id alone. Repeated rows are packed each for itself. A NULL
-    id is kept; other columns are not read; an empty table gives no rows. Sequence ids are unique
+    id is kept; other columns are not read; an empty table gives no rows. Runs of white space may have any length. Sequence ids are unique
     across tasks. A column over ``ids`` may be given to go in their place, for example their crc32: the rows that are
     shuffled are then narrow. A task needs memory for its longest text and the numbers of its open sequences. The sizes of
     the texts are read once, at once, for the number of groups.

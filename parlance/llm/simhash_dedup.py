@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parlance.llm.common import LOWER, ROW, UPPER, column, packed, unpacked, written
+from parlance.llm.common import LOWER, ROW, UPPER, column, packed, sent, unpacked, written
 from parlance.llm.components import components
 
 BITS = 64
@@ -60,12 +60,12 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
     """(id, twin, fp) of every row; texts are read whole, as bytes. ``twin`` is a hash that tells apart texts that share an id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]
+            found = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.int64())], ["id", "twin", "fp"])
 
     given = docs.select(
         column(id_col).cast("bigint").alias("id"), F.xxhash64(column(text_col)).alias("twin"), column(text_col).cast("binary").alias("text"))
-    return given.mapInArrow(run, "id bigint, twin bigint, fp bigint")
+    return sent(given).mapInArrow(run, "id bigint, twin bigint, fp bigint")
 
 
 def _signed(value: int) -> int:
@@ -179,7 +179,7 @@ def near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "d
 
     Fingerprints at most ``radius`` bits apart are linked. A NULL or wordless text has fingerprint
     zero and is linked like any other; a text with fewer words than ``shingle`` is one shingle. Repeated rows
-    have one fingerprint. A NULL id is passed over when the smallest is sought. Other columns are
+    have one fingerprint. Texts of any length are read whole, and a task needs memory for its longest one. A NULL id is passed over when the smallest is sought. Other columns are
     not read; an empty table gives no rows.
     """
     return _grouped(docs, shingle, radius, id_col, text_col, dense).select(F.col("id").alias(id_col), "fp", "component_id")
@@ -190,7 +190,8 @@ def drop_near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str
     """The input's rows and columns; of each component the document with the smallest id stays, a NULL id last.
 
     If several texts of the component have that id, the one with the smallest hash stays. Rows that share id and text
-    are one document: they stay or go together.
+    are one document: they stay or go together. NULL and empty texts are near copies of each other; texts may have any
+    length; an empty table gives no rows.
     """
     grouped = written(_grouped(docs, shingle, radius, id_col, text_col, dense), "grouped")
     first = grouped.where("id <=> component_id")

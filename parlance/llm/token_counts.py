@@ -21,10 +21,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from parlance.llm.common import column
+from parlance.llm.common import column, sent
 
 MAX_NODES = 1 << 18
 MAX_DEPTH = 256
+MAX_KEPT = 1 << 24  # characters of the pre-tokens whose counts a task keeps
 
 
 def zipf_scores(path: str) -> dict[bytes, float]:
@@ -54,6 +55,7 @@ class ForwardTrie:
         self.child: dict[int, int] = {}
         self.score, self.tokens = [0.0], [0]
         self.terminal: dict[str, int] = {}
+        self.kept = 0
 
     def _forward(self, word: bytes, depth: int, score: list[float], tokens: list[int]) -> tuple[float, int]:
         """The best last piece of word[:depth], given the scores of all shorter prefixes; ties take fewer tokens."""
@@ -90,22 +92,33 @@ class ForwardTrie:
         return tokens[-1]
 
     def count_all(self, texts: list[list[str]]) -> list[int]:
-        """Tokens of each text, given its pre-tokens. A full trie is emptied; counts do not depend on it."""
-        if len(self.score) > self.max_nodes:
+        """Tokens of each text, given its pre-tokens. A full trie is emptied; counts do not depend on it.
+
+        What is kept is bounded by its nodes and by the characters of its terminals; pre-tokens that are too long to
+        share prefixes are counted for these texts only.
+        """
+        if len(self.score) > self.max_nodes or self.kept > MAX_KEPT:
             self.clear()
-        new = set().union(*texts).difference(self.terminal) if texts else set()
-        for word in sorted(new):
-            self.terminal[word] = self.insert(word.encode())
-        return [sum(map(self.terminal.__getitem__, words)) for words in texts]
+        known, once = self.terminal, {}
+        for word in sorted(set().union(*texts).difference(known) if texts else ()):
+            encoded = word.encode()
+            if len(encoded) <= MAX_DEPTH:
+                known[word] = self.insert(encoded)
+                self.kept += len(word)
+            else:
+                once[word] = self.insert(encoded)
+        if once:
+            return [sum(once[w] if w in once else known[w] for w in words) for words in texts]
+        return [sum(map(known.__getitem__, words)) for words in texts]
 
 
 def token_counts(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text",
                  max_nodes: int = MAX_NODES) -> DataFrame:
     """One row per input row: id, n_bytes, n_pretokens, n_tokens.
 
-    Texts are counted whole. A NULL or empty text has zeros. Repeated rows are counted each for itself; a NULL id is
-    kept; other columns are not read; an empty table gives no rows. No row is shuffled, and a task's
-    trie is emptied once it has more than ``max_nodes`` nodes.
+    Texts are counted whole, whatever their length. A NULL or empty text has zeros. Repeated rows are counted each for itself;
+    a NULL id is kept; other columns are not read; an empty table gives no rows. No row is shuffled, and a task's
+    trie is emptied once it has more than ``max_nodes`` nodes or ``MAX_KEPT`` characters of pre-tokens.
     """
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -121,6 +134,6 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None, id_col: str = "
                     pa.array([len(w) for w in words], pa.int64()), pa.array(trie.count_all(words), pa.int64()),
                 ], ["doc_id", "n_bytes", "n_pretokens", "n_tokens"])
 
-    counted = docs.select(column(id_col).cast("bigint"), column(text_col)).mapInArrow(
+    counted = sent(docs.select(column(id_col).cast("bigint"), column(text_col))).mapInArrow(
         run, "doc_id bigint, n_bytes bigint, n_pretokens bigint, n_tokens bigint")
     return counted.withColumnRenamed("doc_id", id_col)

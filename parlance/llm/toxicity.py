@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import column, written
+from parlance.llm.common import column, sent, written
 
 MAX_DOCUMENTS = 20_000
 MAX_FEATURES = 2048
@@ -213,7 +213,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """One row per input row: id, score, predicted, n_sentences and the offending sentences.
 
     ``offending`` lists (start, end, p), in code points, of the sentences whose own probability reaches one half. A NULL
-    text or one without words has score 0. Repeated rows get the same score; a NULL id is kept;
+    text or one without words has score 0. Texts are scored whole, whatever their length. Repeated rows get the same score; a NULL id is kept;
     other columns are not read; an empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +228,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()),
                 pa.array(counts, pa.int64()), pa.array(offending, _OFFENDING)], ["doc_id", "score", "predicted", "n_sentences", "offending"])
 
-    scored = docs.select(column(id_col).cast("bigint"), column(text_col)).mapInArrow(
+    scored = sent(docs.select(column(id_col).cast("bigint"), column(text_col))).mapInArrow(
         run, "doc_id bigint, score double, predicted int, n_sentences bigint, offending array<struct<start:bigint,end:bigint,p:double>>")
     return scored.withColumnRenamed("doc_id", id_col)
 
