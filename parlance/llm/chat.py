@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parlance.llm.common import column, written
+from parlance.llm.common import column, sent, written
 
 OPEN, ROLE, TEXT, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 _CONTROL = r"</?s>|\[/?INST\]"
@@ -63,24 +64,37 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def linear_threads(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+@dataclass
+class Messages:
+    """Replies (node, parent, score) and, apart from them, texts (node, conv, role, text): only the narrow half is searched.
+
+    Nodes are unique among replies; texts may hold several rows of a node, which are then turns one after the other.
+    """
+
+    replies: DataFrame
+    texts: DataFrame
+
+
+def linear_threads(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> Messages:
     """Conversations given by turn as messages, each replying to the one before.
 
-    Turns are ordered by number, NULL first, then by role and text, so repeated rows are turns of
-    their own. NULL is a conversation of its own; NULL roles and texts are empty.
+    Turns are ordered by number, NULL first, then by a hash of role and text; repeated rows are turns of
+    their own. NULL is a conversation of its own, apart from that of an empty id; NULL roles and texts are empty. A
+    message's node is 128 bits of hash over all its columns, so texts are named where they are, and only hashes are put
+    in order. Texts may have any length. An empty table gives no messages.
     """
-    order = W.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     plain = rows.select(
         column(conv).alias("conv"), column(turn).alias("turn"), F.coalesce(column(role), F.lit("")).alias("role"),
-        F.coalesce(column(text), F.lit("")).alias("text"), F.lit(0.0).alias("score"))
-    placed = plain.withColumn("at", F.row_number().over(order))
+        F.coalesce(column(text), F.lit("")).alias("text"))
 
-    def name(at: Column) -> Column:
-        return F.concat_ws(":", F.coalesce(F.col("conv").cast("string"), F.lit("")), at)
+    def half(seed: int) -> Column:  # a NULL leaves a hash as it is, so it is said whether there is one
+        return F.xxhash64(F.lit(seed), F.col("conv").isNull(), "conv", F.col("turn").isNull(), "turn", "role", "text")
 
-    return placed.select(
-        name(F.col("at")).alias("node"), F.when(F.col("at") > 1, name(F.col("at") - 1)).alias("parent"),
-        "conv", "role", "text", "score")
+    named = plain.withColumn("node", F.struct(half(1).alias("h1"), half(2).alias("h2")))
+    order = W.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "node")
+    narrow = written(named.select("conv", "turn", "node").distinct(), "turns")
+    replies = narrow.select("node", F.lag("node").over(order).alias("parent"), F.lit(0.0).alias("score"))
+    return Messages(replies, named.select("node", "conv", "role", "text"))
 
 
 def _doubled(messages: DataFrame, max_rounds: int) -> tuple[list[DataFrame], DataFrame]:
@@ -112,7 +126,8 @@ def best_paths(messages: DataFrame, n_best: int = 1, max_rounds: int = 40) -> Da
     """(root, leaf, rank, node, height) for every message of every chosen path; height 0 is the leaf.
 
     Messages have node (unique), parent and score, NULL counting as 0. Branches of a tree are ranked by
-    the mean score of their messages, then by leaf. Replies in a circle are an error.
+    the mean score of their messages, then by leaf. Replies in a circle are an error. A message that many others reply
+    to is a hot key of narrow rows, whose join Spark splits. An empty table gives no rows.
     """
     tables, whole = _doubled(messages, max_rounds)
     leaves = whole.select("node", "root", (F.col("sum") / F.col("steps")).alias("mean"))
@@ -129,15 +144,19 @@ def best_paths(messages: DataFrame, n_best: int = 1, max_rounds: int = 40) -> Da
     return members
 
 
-def conversations(messages: DataFrame, n_best: int = 1) -> DataFrame:
+def conversations(messages: DataFrame | Messages, n_best: int = 1) -> DataFrame:
     """One row per chosen path: conv, leaf, rank, formatted and mask, the spans that count for the loss.
 
-    Each path is one conversation and one output row, so its turns meet in one task. An empty table gives no rows.
+    Messages have node, parent, score, conv, role and text, in one table or two. NULL roles and texts count as empty. Each
+    path is one conversation and one output row, so its turns, however long, meet in one task. An empty table gives no
+    rows; other columns are not read.
     """
-    paths = best_paths(messages, n_best).select("leaf", "rank", "node", "height")
-    turns = messages.select("node", "conv", "role", "text").join(paths, "node").groupBy("leaf", "rank").agg(
+    if isinstance(messages, DataFrame):
+        messages = Messages(messages, messages)
+    paths = best_paths(messages.replies, n_best).select("leaf", "rank", "node", "height")
+    turns = messages.texts.select("node", "conv", "role", "text").join(paths, "node").groupBy("leaf", "rank").agg(
         F.first("conv").alias("conv"), F.sort_array(F.collect_list(F.struct(-F.col("height"), "role", "text"))).alias("turns"))
-    kind = turns.schema["conv"].dataType.simpleString()
+    kind, of_leaf = (turns.schema[c].dataType.simpleString() for c in ("conv", "leaf"))
     given = turns.select("conv", "leaf", "rank", F.col("turns.role").alias("roles"), F.col("turns.text").alias("texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +168,8 @@ def conversations(messages: DataFrame, n_best: int = 1) -> DataFrame:
                 pa.array([[{"start": s, "end": e} for s, e in m[1]] for m in made], _SPANS),
             ], ["conv", "leaf", "rank", "formatted", "mask"])
 
-    return given.mapInArrow(
-        run, f"conv {kind}, leaf string, rank int, formatted string, mask array<struct<start:bigint,end:bigint>>")
+    return sent(given).mapInArrow(
+        run, f"conv {kind}, leaf {of_leaf}, rank int, formatted string, mask array<struct<start:bigint,end:bigint>>")
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -77,6 +77,16 @@ def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
         run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 
+def chat_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """The two best branches of each conversation, in which every third message replies to the last but one."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    above = F.col("turn") - F.when(F.col("turn") % 3 == 2, 2).otherwise(1)
+    messages = spark.read.parquet(f"{folder}/conversations.parquet").select(
+        F.concat_ws(":", "conv_id", "turn").alias("node"), F.concat_ws(":", "conv_id", above).alias("parent"),
+        (F.length(text) % 10).cast("double").alias("score"))
+    return chat.best_paths(messages, n_best=2)
+
+
 _CHAT_NAMES = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 _CHAT_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
@@ -118,6 +128,7 @@ def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_mix_sources, op3_quality_rules, op4_simhash, op5_pack, op6_shards, op7_toxicity, op8_chat, op9_exact_dedup, op10_language,
     op11_resample, op12_exact_topk, op13_spelling)}
+QUERIES["chat_reply_trees"] = chat_reply_trees
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -173,6 +184,17 @@ SQL = {
                 + length(regexp_replace(text, '(\\\\|</?s>|\\[/?INST\\])', '\\\\\\1', 'g'))) AS BIGINT) AS formatted_chars
         FROM rows GROUP BY conv_id
     """,
+    "chat_reply_trees": """
+        WITH RECURSIVE messages AS (
+            SELECT conv_id || ':' || turn AS node, conv_id || ':' || (turn - CASE WHEN turn % 3 = 2 THEN 2 ELSE 1 END) AS parent,
+                CAST(length(coalesce(text, '')) % 10 AS DOUBLE) AS score FROM conversations),
+        walk AS (
+            SELECT node AS leaf, node, parent, CAST(0 AS BIGINT) AS height, score FROM messages WHERE node NOT IN (SELECT parent FROM messages)
+            UNION ALL SELECT leaf, m.node, m.parent, height + 1, m.score FROM walk JOIN messages AS m ON m.node = walk.parent),
+        branches AS (SELECT leaf, max_by(node, height) AS root, sum(score) / count(*) AS mean FROM walk GROUP BY leaf),
+        ranked AS (SELECT leaf, root, CAST(row_number() OVER (PARTITION BY root ORDER BY mean DESC, leaf) AS INTEGER) AS rank FROM branches)
+        SELECT root, leaf, rank, node, height FROM walk JOIN ranked USING (leaf) WHERE rank <= 2
+    """,
     "op9_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
