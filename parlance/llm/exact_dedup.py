@@ -89,8 +89,8 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Of equal texts the row with the largest id stays. NULL texts count as empty. A NULL id is
     smaller than any other and a group of NULL ids has a NULL keep_id. Of rows that share text
-    and id exactly one is kept. Other columns are not read; an empty table gives no rows. The
-    id is an integer.
+    and id exactly one is kept. Texts of any length are read whole; only their digests are shuffled. Other columns are
+    not read; an empty table gives no rows. The id is an integer.
     """
     digests = _digests(docs, id_col, text_col)
     groups, bitmaps, blocks = _repeated_groups(digests, max_blocks)
@@ -109,7 +109,7 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """The input's rows and columns without repeated texts; the rules are those of ``mark_duplicates``."""
+    """The input's rows and columns without repeated texts; the rules are those of ``mark_duplicates``, for texts of any length."""
     digests = _digests(docs, id_col, text_col)
     groups, bitmaps, blocks = _repeated_groups(digests, max_blocks)
     # The rows that go, by digest and id: together they spread a hot group over all tasks.

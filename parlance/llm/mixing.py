@@ -70,7 +70,7 @@ def solve_tilts(counts: DataFrame, targets: DataFrame, cap: float = 2.0, max_ste
     """Newton steps, guarded by a bracket, on the dual of every source; ends when all sources meet their targets.
 
     The tilts live in a written table beside their sources, so their number may grow. Nothing but
-    one count per step reaches the driver.
+    one count per step reaches the driver. Sources that are not solved after ``max_steps`` are an error.
     """
     facts = counts.groupBy("source").agg(
         F.sum("n").alias("n"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"))
@@ -107,6 +107,9 @@ def solve_tilts(counts: DataFrame, targets: DataFrame, cap: float = 2.0, max_ste
             "source", "source_size", "target", "mean", "least",
             F.when(F.col("now_done"), F.col("tilt")).otherwise(moved).alias("tilt"),
             F.col("now_done").alias("done"), "upper", "lower"), "tilts")
+    else:
+        if left := state.where("NOT done").count():
+            raise RuntimeError(f"{left} sources did not meet their targets in {max_steps} steps")
     return state.select("source", "source_size", "target", "mean", "tilt")
 
 
@@ -180,7 +183,8 @@ def mix(rows: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
     """The input as a struct ``_row`` beside size, source_size, target, rate and copies.
 
     ``copies`` (0 to ``cap``) says how often the mix takes the row. Sizes are whole numbers, NULL
-    counts as 0; rows of size 0 add nothing to their source and have rate 1. NULL is a source of its own.
+    counts as 0, and they may be of any magnitude: a row larger than its source's target is taken or left; rows of size
+    0 add nothing to their source and have rate 1. NULL is a source of its own.
     Rows that repeat id and size are drawn alike. An empty table gives no rows. Extra columns stay in ``_row``.
     """
     given = packed(rows, id=column(id_col), source=column(source_col), size=F.coalesce(size, F.lit(0)).cast("bigint"))

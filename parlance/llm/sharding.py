@@ -6,8 +6,8 @@ parts; one pass sums the exact bytes between them for all splitters at once, and
 holds the wanted position is cut again, until a boundary is within the tolerance. Then the rows are
 exchanged once, to their final places.
 
-The text's hash comes first, so a splitter between two texts is preferred: equal texts share a
-shard unless their bytes are so many that the shards would be uneven. Then the ids' hash divides them.
+The text's hash comes first, so a splitter stands between two texts: equal texts share a shard unless
+they are more than ``GROUP`` of one, a hundredth. Only such a group is divided, by the ids' hash.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ from parlance.llm.common import column, packed, written
 DIGIT_BITS = 12
 KEY_BITS = 128
 TOLERANCE = 0.001
+GROUP = 0.01
 ROWS_PER_PART = 4096
+TASK_BYTES = 128 << 20  # text that one task of the exchange is given, if the session's partitions would give it more
 _SIGN = 1 << 63
 
 
@@ -72,7 +74,7 @@ def find_splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -
     """
     total = rows.agg(F.sum("size")).first()[0] or 0
     splitters = [Splitter(total * j / shards) for j in range(1, shards)]
-    allowed = tolerance * total / shards
+    allowed, whole = tolerance * total / shards, GROUP * total / shards
     while any(s.key is None for s in splitters):
         open_ranges = sorted({(s.prefix, s.bits) for s in splitters if s.key is None})
         at = open_ranges[0][1]  # all open ranges are equally deep
@@ -87,12 +89,12 @@ def find_splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -
             histograms.setdefault(row["range"], []).append(row)
         for s in splitters:
             if s.key is None:
-                _refine(s, histograms.get(open_ranges.index((s.prefix, s.bits)), []), n, allowed)
+                _refine(s, histograms.get(open_ranges.index((s.prefix, s.bits)), []), n, allowed, whole)
     return [s.key for s in splitters]
 
 
-def _refine(s: Splitter, histogram: list, n: int, allowed: float) -> None:
-    """Settle on a boundary near enough, or go on inside the part where the target lies."""
+def _refine(s: Splitter, histogram: list, n: int, allowed: float, whole: float) -> None:
+    """Settle on a boundary near enough, or go on inside the part where the target lies; not inside a small group of equal texts."""
     below, depth = s.below, s.bits + n
     for row in histogram:
         upto = below + row["bytes"]
@@ -100,7 +102,7 @@ def _refine(s: Splitter, histogram: list, n: int, allowed: float) -> None:
             prefix = s.prefix << n | row["digit"]
             lower_is_nearer = s.target - below <= upto - s.target
             nearest = min(s.target - below, upto - s.target)
-            if nearest <= allowed or row["n"] == 1 or depth == KEY_BITS:
+            if nearest <= allowed or row["n"] == 1 or depth == KEY_BITS or depth == 64 and row["bytes"] <= whole:
                 s.key = (prefix if lower_is_nearer else prefix + 1) << (KEY_BITS - depth)
             s.prefix, s.bits, s.below = prefix, depth, below
             return
@@ -124,20 +126,25 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANC
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's columns in a struct ``_row`` beside size, shard (from 0) and slot (gapless from 0 in each shard).
 
-    Shard sizes differ from the mean by the tolerance or by the largest row. A NULL text has no
-    bytes and size 1. Equal texts stay together where the sizes allow it. Rows that repeat id and text have equal
-    keys and so share a shard; their slots follow in any order. An empty table gives no rows.
+    Shard sizes differ from the mean by the tolerance, by half of a group of equal texts that is up to a hundredth of a
+    shard, or by the largest row, so a very long text may make its shard larger. A NULL text has no bytes and size 1. Equal
+    texts are in one shard unless they are more than that. Rows that repeat id and text have equal keys and so
+    share a shard; their slots follow in any order. Extra columns stay in ``_row``. An empty table gives no rows.
     """
     text, doc = column(text_col), column(id_col).cast("bigint")
     narrow = written(docs.select(size_of(text).alias("size"), *[c.alias(n) for n, c in _keys(text, doc).items()]), "keys")
     splitters = find_splitters(narrow, shards, tolerance)
-    parts = max(1, -(-narrow.count() // (shards * ROWS_PER_PART)))
+    n, size = narrow.agg(F.count(F.lit(1)), F.sum("size")).first()
+    parts = max(1, -(-n // (shards * ROWS_PER_PART)))
     part = F.pmod(F.col("key2"), F.lit(parts))
     # A shard is numbered in parts of bounded size: rows before the part plus the place inside it.
     counts = narrow.groupBy(_shard(splitters).alias("shard"), part.alias("part")).count()
     before = W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = written(counts.select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")), "starts")
     rows = packed(docs, size=size_of(text), **_keys(text, doc)).withColumns({"shard": _shard(splitters), "part": part})
+    tasks = min((size or 0) // TASK_BYTES, parts * shards)
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        rows = rows.repartition(tasks, "shard", "part")
     place = F.row_number().over(W.partitionBy("shard", "part").orderBy("key1", "key2")) - 1
     placed = rows.withColumn("place", place)
     return placed.join(starts, ["shard", "part"]).select(
