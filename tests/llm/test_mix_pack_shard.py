@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -154,12 +155,67 @@ def test_ids_are_those_of_the_json_as_loaded():
         packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), {"two words": 50256})
 
 
+def blanks(n, kinds, seed=5):
+    rng = random.Random(seed)
+    return "".join(rng.choice(kinds) for _ in range(n))
+
+
+LONG_BLANKS = [" " * 1_000_000, "\n" * 1_000_000 + "end", f"a{' ' * 2_000_000} b", f"x {chr(10) * 5_000_000}{MARK} y", "\t" * 1_200_000 + MARK,
+               blanks(1_100_000, " \n\t") + "é", f"{' ' * 70_000}1{' ' * 70_000}'s{chr(0x3000) * 70_000}", "z" * 2_000_000, blanks(1_000_000, " \x1c\u200b")]
+
+
+def test_long_runs_of_blanks():
+    json = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer = packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), packing.ADDED)
+    for text in LONG_BLANKS:
+        assert packing.encode(tokenizer, text).tolist() == json.encode(text, add_special_tokens=False).ids
+    for seed in range(300):
+        text = blanks(40, [" ", "  ", "\n", "\t\u3000", "\x85", "\x1c", "\u200b", "a", "'s", "1", ".", MARK], seed)
+        for long_blank in (1, 2, 3, 5):
+            assert packing.encode(tokenizer, text, 7, long_blank).tolist() == json.encode(text, add_special_tokens=False).ids
+
+
+def naive_place(lengths, capacity):
+    """Sum of squares written out: every choice is tried and the whole sum taken each time."""
+    gaps, made = [], []
+    for n in lengths:
+        best = None
+        for gap in sorted({g for g in gaps if n <= g < capacity}):
+            after = Counter(g for g in gaps if 0 < g < capacity)
+            after[gap] -= 1
+            if gap > n:
+                after[gap - n] += 1
+            total = sum(k * k for k in after.values())
+            if best is None or total < best[0]:
+                best = (total, gap)
+        if best is None:
+            gaps.append(capacity - n)
+            made.append(0)
+        else:
+            at = max(i for i, g in enumerate(gaps) if g == best[1])
+            made.append(capacity - gaps[at])
+            gaps[at] -= n
+    return made, len(gaps)
+
+
+def test_place_is_the_sum_of_squares_rule():
+    rng = random.Random(8)
+    for capacity in (10, 37):
+        for _ in range(40):
+            lengths = [rng.randint(1, capacity) for _ in range(60)]
+            room = packing.OpenSequences(capacity, 0)
+            offsets = [room.place(n)[1] for n in lengths]
+            wanted, n = naive_place(lengths, capacity)
+            assert room.next_id == n and offsets == wanted
+
+
 def test_pack_queries_give_the_ids_of_the_json(spark, tmp_path):
     json = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    docs = spark.createDataFrame(list(enumerate(MARKED)), "doc_id bigint, text string")
+    texts = MARKED + LONG_BLANKS[:4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     want = []
-    for i, text in enumerate(MARKED):
+    for i, text in enumerate(texts):
         ids = np.array(json.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
         want += [(i, k, at, n, zlib.crc32(ids[at : at + n].tobytes())) for k, (at, n) in enumerate(packing.pieces_of(len(ids), 2048))]
     for got in (QUERIES["op5_pack"](spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, docs, str(tmp_path))):
@@ -199,3 +255,66 @@ def test_repeated_rows_and_nothing(spark):
     assert sorted((r.shard, r.slot) for r in got) == [(got[0].shard, k) for k in range(20)]
     assert sharded(spark, [], 4) == []
     assert zlib.crc32(b"") == 0
+
+
+def test_only_a_large_group_of_equal_texts_is_divided(spark):
+    rng = random.Random(12)
+    rows = [(i, "".join(rng.choice("abc") for _ in range(200))) for i in range(4000)]
+    rows += [(10_000 + 10 * g + k, f"copied text {g} " * 20) for g in range(300) for k in range(3)]  # a third of a hundredth of a shard each
+    rows += [(50_000 + i, "hot " * 60) for i in range(2500)]
+    got = sharded(spark, rows, 8)
+    where = {}
+    for r in got:
+        where.setdefault(r.text, set()).add(r.shard)
+    assert [t for t, s in where.items() if len(s) > 1] == ["hot " * 60]
+    sizes = [sum(r.size for r in got if r.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 0.01 * sum(sizes) / 8
+
+
+def test_tasks_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "TASK_BYTES", 1000)
+    monkeypatch.setattr(sharding, "ROWS_PER_PART", 10)
+    docs = spark.createDataFrame([(i, f"text {i} " * 9) for i in range(900)], "doc_id bigint, text string")
+    got = sharding.shard_by_bytes(docs, 4)
+    assert got.rdd.getNumPartitions() > 30 and got.count() == 900
+    for s in range(4):
+        assert sorted(r.slot for r in got.where(F.col("shard") == s).collect()) == list(range(got.where(F.col("shard") == s).count()))
+
+
+def test_splitters_are_those_of_a_sort(spark):
+    rng = random.Random(7)
+    rows = spark.createDataFrame([(i, "t" * rng.randint(1, 400)) for i in range(3000)], "doc_id bigint, text string")
+    keyed = rows.select(sharding.size_of(F.col("text")).alias("size"), *[c.alias(n) for n, c in sharding._keys(F.concat("text", "doc_id"), F.col("doc_id")).items()])
+    ordered = sorted((((r.key1 + 2**63) << 64) + r.key2 + 2**63, r["size"]) for r in keyed.collect())
+    total = sum(n for _, n in ordered)
+    for tolerance in (0.001, 0.0):
+        for j, key in enumerate(sharding.find_splitters(keyed, 8, tolerance), 1):
+            below = sum(n for k, n in ordered if k < key)
+            best = min(abs(sum(n for _, n in ordered[:i]) - total * j / 8) for i in range(len(ordered) + 1)) if not tolerance else 0
+            assert abs(below - total * j / 8) <= max(tolerance * total / 8, best) + (200 if tolerance else 1e-6)
+
+
+def test_rates_are_those_of_a_scalar_solver(spark):
+    import math
+
+    rng = random.Random(3)
+    rows = [(i, "ab"[i % 3 == 0], int(rng.lognormvariate(4, 1.5)) + 1, "") for i in range(900)]
+    got = mixed(spark, rows)
+    for source in "ab":
+        own = [r for r in got if r.source == source]
+        target, mean = own[0].target, own[0].source_size / len(own)
+        low, high = -100.0, 100.0
+        for _ in range(200):
+            tilt = (low + high) / 2
+            words = sum(r.size * math.exp(min(math.log(2), tilt * r.size / mean)) for r in own)
+            low, high = (tilt, high) if words < target else (low, tilt)
+        for r in own:
+            assert r.rate == pytest.approx(math.exp(min(math.log(2), tilt * r.size / mean)), rel=1e-5, abs=1e-9)
+
+
+def test_an_unsolved_mix_is_an_error(spark):
+    docs = spark.createDataFrame([(i, "a" if i % 2 else "b", i + 1) for i in range(50)], "doc_id bigint, source string, size bigint")
+    counts = docs.groupBy("source", "size").count().withColumnRenamed("count", "n")
+    targets = mixing.source_targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")))
+    with pytest.raises(RuntimeError):
+        mixing.solve_tilts(counts, targets, max_steps=1)

@@ -20,7 +20,7 @@ def docs(spark):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entries.queries())
-    assert [f"op{n}_" for n in range(1, 14)] == [q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"]
+    assert [f"op{n}_" for n in range(1, 14)] == [q.split("_")[0] + "_" for q in QUERIES if q.startswith("op")]
 
 
 def test_stages_keep_the_columns(spark, docs):
@@ -55,6 +55,13 @@ def test_stages_take_empty_and_null_rows(spark, docs):
             assert stage(spark, rows, FOLDER).count() <= 2 * rows.count()
 
 
+def test_reply_trees_query(spark):
+    from checks.compare import compare, connect
+
+    ok, note = compare(spark, connect(FOLDER), FOLDER, "chat_reply_trees")
+    assert ok, note
+
+
 def test_chat_query(spark):
     got = {r.conv_id: r for r in QUERIES["op8_chat"](spark, FOLDER).collect()}
     said = "</s>[INST] ok [/INST]"

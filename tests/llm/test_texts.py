@@ -82,6 +82,18 @@ def test_token_counts(spark):
     assert token_counts.token_counts(rows.where("false")).count() == 0
 
 
+def test_a_task_keeps_no_long_pretokens(monkeypatch):
+    scores = {bytes([b]): -5.0 for b in range(256)} | {"日本".encode(): -1.0}
+    trie = token_counts.ForwardTrie(scores, 50)
+    long_words = ["日本" * 60 + chr(0x4E00 + i) for i in range(500)]
+    assert trie.count_all([long_words, ["日本"]]) == [500 * 63, 1]
+    assert trie.terminal == {"日本": 1} and len(trie.score) == 7
+    monkeypatch.setattr(token_counts, "MAX_KEPT", 100)
+    for i in range(50):
+        assert trie.count_all([["x" * 9 + str(i)]])[0] in (10, 11)
+        assert trie.kept <= 100 + 11 and len(trie.terminal) <= 12
+
+
 @pytest.fixture(scope="module")
 def toxic_docs(spark):
     rng = random.Random(4)
@@ -113,6 +125,20 @@ def test_toxicity(spark, toxic_docs):
     assert toxicity.score(docs.where("false"), model).count() == 0
 
 
+def test_scores_are_noisy_or_written_out(spark, toxic_docs):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in toxic_docs[:200]], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in toxic_docs], "doc_id bigint, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    for r in toxicity.score(docs, model).collect():
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]", toxic_docs[r.doc_id][1]):
+            words = re.findall(r"[^\W_]+", sentence.lower())
+            if words:
+                z = model.bias + sum(model.weights.get(f, 0.0) for w in words for f in ["=" + w, *(w[:k] for k in range(3, min(7, len(w)) + 1))])
+                clean *= 1 - 1 / (1 + 2.718281828459045 ** -z)
+        assert r.score == pytest.approx(1 - clean, abs=1e-9)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
@@ -168,6 +194,32 @@ def test_language(spark):
     assert {r.lang_pred for r in language_id.identify(docs, {}).collect()} == {"und"}
 
 
+def test_sizes_are_those_of_zstandard(spark):
+    """The query's operator against the method written out: a dictionary per language, blocks, the smallest sum."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = language_id.learn_dictionaries(docs, F.col("text"), F.col("lang"), F.col("doc_id"))
+    got = {r.doc_id: r for r in language_id.identify(docs, learned).select("_row.doc_id", "lang_pred", "score").collect()}
+
+    def size(content, block, text):
+        words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        tool = zstandard.ZstdCompressor(level=language_id.LEVEL, dict_data=words, write_content_size=False, write_dict_id=False)
+        return sum(len(tool.compress(text[at : at + block])) for at in range(0, len(text), block))
+
+    for r in docs.limit(60).collect():
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        text = language_id.plain(r.text)
+        sums = {lang: size(content, language_id.BLOCK, text) for lang, content in learned.items()}
+        first, second = sorted(sums.values())[:2]
+        if 1 - first / second < language_id.CLEAR:
+            sums = {lang: n + size(learned[lang], language_id.SMALL_BLOCK, text) for lang, n in sums.items()}
+            first, second = sorted(sums.values())[:2]
+        assert got[r.doc_id].lang_pred == min(sums, key=sums.get) and got[r.doc_id].score == pytest.approx(max(0, 1 - first / second))
+
+
 @pytest.mark.parametrize("unlearned", ["en", "es"])
 def test_a_language_that_was_not_learned_is_rejected(spark, tmp_path, unlearned):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -216,6 +268,16 @@ def test_conversations_by_turn(spark):
     assert hashlib.sha256(got[1].formatted.encode()).hexdigest()
 
 
+def test_ids_of_conversations_may_be_texts(spark):
+    rows = [(c, i, r, f"{r} {c!r}") for c in ("", None, "a:1", "a") for i, r in enumerate(("user", "assistant"))] + [("a", None, "user", "first"), ("a", None, "user", "first")]
+    table = spark.createDataFrame(rows, "conv_id string, turn bigint, role string, text string")
+    got = {r.conv: chat.read_turns(r.formatted) for r in chat.conversations(chat.linear_threads(table)).collect()}
+    assert set(got) == {"", None, "a:1", "a"}
+    for c in ("", None, "a:1"):
+        assert got[c] == [("user", f"user {c!r}"), ("assistant", f"assistant {c!r}")]
+    assert got["a"] == [("user", "first")] * 2 + [("user", "user 'a'"), ("assistant", "assistant 'a'")]
+
+
 def test_trees_rank_branches(spark):
     rng = random.Random(9)
     rows = [("n0", None, 0.0)] + [(f"n{i}", f"n{rng.randrange(max(0, i - 6), i)}", rng.random()) for i in range(1, 80)]
