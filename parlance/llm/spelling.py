@@ -30,7 +30,7 @@ BITS = 24
 MAX_BYTES = 32 << 20
 LONGEST = 64  # longer words share the filter of this length
 MAX_ALPHABET = 4096
-PROBES = 1 << 20  # edits looked up at once
+PROBES = 1 << 16  # edits looked up at once
 MIN_CHARS = 6
 MIN_COUNT = 5
 RATIO = 5
