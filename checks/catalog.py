@@ -781,7 +781,8 @@ def _(v):
 @query("bigram_perplexity", with_(["model"], f"""SELECT doc_id, count(*) AS tokens, {r('avg(-ln(probability))')} AS nll,
     {r('exp(avg(-ln(probability)))', 3)} AS perplexity FROM tokenpairs JOIN model USING (prev, next) GROUP BY doc_id"""))
 def _(v):
-    encoded = vocabulary.encode(v.documents(), "doc_id", "text", freeze(_vocab(v)), max_length=None)
+    # written once: the ids take less room than the texts, and both the model and the scores read them
+    encoded = freeze(vocabulary.encode(v.documents(), "doc_id", "text", freeze(_vocab(v)), max_length=None))
     model = freeze(nextword.bigram_model(encoded, vocabulary.VOCAB_SIZE))
     scored = nextword.sequence_perplexity(encoded, "doc_id", model, vocabulary.VOCAB_SIZE)
     return scored.withColumns({"nll": rnd("nll"), "perplexity": rnd("perplexity", 3)})

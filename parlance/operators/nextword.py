@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from parlance.operators.batching import next_token_pairs
+from parlance.session import freeze
 
 SMOOTHING = 0.1
+HEAD_PAIRS = 500_000  # pairs of a model that travel to every task; some 40 MB
 
 
 def shifted_pairs(examples: DataFrame, *keep: str) -> DataFrame:
@@ -84,14 +86,41 @@ def _with_cost(pairs: DataFrame, model: DataFrame, vocab_size: int, smoothing: f
     )
 
 
+def frequent_pairs(model: DataFrame) -> DataFrame:
+    """The most frequent pairs, ``HEAD_PAIRS`` at most: all from that half power of two of their count on with which they fit."""
+    step = F.floor(F.log2("n") * 2)
+    sizes = model.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("pairs")).where(F.col("step").isNotNull())
+    so_far = F.sum("pairs").over(Window.orderBy(F.desc("step")))  # over at most 128 rows
+    least = sizes.withColumn("so_far", so_far).where(F.col("so_far") <= HEAD_PAIRS).agg(F.min("step")).scalar()
+    return model.where(step >= least)
+
+
+def gathered_pairs(encoded: DataFrame, key: str, head: DataFrame, ids: str = "ids") -> DataFrame:
+    """``key, found, prev, next, n, known``: one row for all pairs of a sequence that the head holds, with the sum of their
+    costs, and the counted other ones.
+
+    The row of those found has no ``next``, so it joins nothing, and the key's hash as ``prev``, so a join deals such rows evenly.
+    """
+    known = head.select("prev", "next", (-F.ln("probability")).alias("known"))
+    priced = token_pairs(encoded.where(F.size(ids) > 1), key, ids=ids).join(F.broadcast(known), ["prev", "next"], "left")
+    found = F.col("known").isNotNull()
+    prev, next_ = F.when(found, F.hash(key)).otherwise(F.col("prev")), F.when(~found, F.col("next"))
+    return priced.groupBy(key, found.alias("found"), prev.alias("prev"), next_.alias("next")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("known").alias("known")
+    )
+
+
 def sequence_perplexity(encoded: DataFrame, key: str, model: DataFrame, vocab_size: int,
                         smoothing: float = SMOOTHING, ids: str = "ids") -> DataFrame:
     """``key, tokens, nll, perplexity`` of each sequence under a bigram model.
 
-    Pairs are counted inside their sequence first, so a sequence brings each of its distinct pairs to the join once.
+    Frequent pairs get their cost where they stand, from the head of the model, and are summed before the shuffle; only
+    rare ones are joined with the model.
     """
-    scored = _with_cost(distinct_pairs(encoded, key, ids=ids), model, vocab_size, smoothing)
-    sums = scored.groupBy(key).agg(F.sum("n").alias("tokens"), (F.sum(F.col("cost") * F.col("n")) / F.sum("n")).alias("nll"))
+    model = freeze(model)
+    scored = _with_cost(gathered_pairs(encoded, key, frequent_pairs(model), ids), model, vocab_size, smoothing)
+    cost = F.when(F.col("found"), F.col("known")).otherwise(F.col("cost") * F.col("n"))
+    sums = scored.groupBy(key).agg(F.sum("n").alias("tokens"), (F.sum(cost) / F.sum("n")).alias("nll"))
     return sums.withColumn("perplexity", F.exp("nll"))
 
 
