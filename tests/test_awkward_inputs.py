@@ -1,6 +1,7 @@
 """Inputs that the given tables do not hold: NULL groups, missing scores, gaps in turns, wide integers, time zones."""
 
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ import checks.catalog  # noqa: F401
 from checks import awkward
 from parlance.functions.arithmetic import clip
 from parlance.functions.hashing import row_fingerprint
-from parlance.operators import cleaning, pairs, ranking, rebalance, sequences, trainlog, vocabulary
+from parlance.operators import cleaning, largevocab, pairs, ranking, rebalance, sequences, trainlog, vocabulary
 
 NAN = float("nan")
 
@@ -128,6 +129,55 @@ def test_a_vocabulary_beyond_the_limit_is_joined(spark, monkeypatch, head):
     assert vocabulary.decode(beyond, "id", "ids", vocab).first().text.split(" ")[1:] == ["<UNK>"] * 2
 
 
+@pytest.mark.parametrize("large", [0, 64, 8_000_000])
+def test_a_vocabulary_whose_hashes_travel(spark, monkeypatch, large):
+    texts = [None, "", "w1 w1 nowhere w59", "W3 é\u00a0日本 w3", "nowhere"] + [f"w{i} x{i} w{i % 7} a{i % 2}" for i in range(80)]
+    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate([*texts, *texts[-5:]])], "id int, text string, key string").repartition(3)
+    counts = Counter(w for r in df.collect() if r.text for w in r.text.lower().split())
+    top = sorted(counts, key=lambda w: (-counts[w], w))
+    monkeypatch.setattr(vocabulary, "MAX_LOOKUP", 10)
+    monkeypatch.setattr(vocabulary, "HEAD", 20)
+    monkeypatch.setattr(largevocab, "LARGE", large)
+    monkeypatch.setattr(largevocab, "CHUNK", 50)
+    monkeypatch.setattr(largevocab, "SPARE", 10)
+    for n in (30, 60, 1000):  # ties at the end, words that occur once, more than there are
+        vocab = vocabulary.build_vocab(df, "text", n)
+        assert vocab._frozen == (n <= large)  # found by hashes
+        ids = {w: i for i, w in enumerate([*vocabulary.SPECIAL_TOKENS, *top][:n])}
+        assert {r.token: r.id for r in vocab.collect()} == ids and {r.token: r["count"] for r in vocab.where("id > 3").collect()} == {w: counts[w] for w in [*ids][4:]}
+        encoded = vocabulary.encode(df, "id", "text", vocab, max_length=None, keep=("key",))
+        want = sorted((r.id, "k", [2, *[ids.get(w, 1) for w in r.text.lower().split()], 3]) for r in df.collect() if r.text is not None)
+        assert sorted(map(tuple, encoded.collect())) == want
+        monkeypatch.setattr(largevocab, "GROUP", n)
+        decoded = sorted(map(tuple, vocabulary.decode(encoded, "id", "ids", vocab).collect()))
+        assert decoded == sorted((i, " ".join([*ids][w] if w != 1 else "<UNK>" for w in ws[1:-1])) for i, _, ws in want)
+    beyond = spark.createDataFrame([(1, [4, 999_999, -5, 0, 3, 1, None]), (2, None), (3, [])], "id int, ids array<int>")
+    assert [r.text for r in vocabulary.decode(beyond, "id", "ids", vocab).orderBy("id").collect()] == [f"{top[0]} <UNK> <UNK> <UNK>", None, ""]
+
+
+def test_no_word_is_shuffled_with_a_large_vocabulary(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"w{i} x{i} w{i % 7}") for i in range(80)], "id int, text string")
+    monkeypatch.setattr(vocabulary, "MAX_LOOKUP", 10)
+    vocab = vocabulary.build_vocab(df, "text", 64)
+    encoded = vocabulary.encode(df, "id", "text", vocab)
+    for found in (encoded, vocabulary.decode(encoded, "id", "ids", vocab)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Generate" not in plan and "Aggregate" not in plan
+
+
+def test_words_that_share_a_hash(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a b b c"), (2, "c c d e e e e")], "id int, text string")
+    monkeypatch.setattr(vocabulary, "MAX_LOOKUP", 1)
+    names = largevocab._names
+    few = lambda ws, seed: F.transform(names(ws, seed), lambda h: h.bitwiseAND(F.lit(3 << 61)))
+    monkeypatch.setattr(largevocab, "_names", few)  # four names for five words: none of the hashes will do
+    assert largevocab.top_words(df, "text", 5) is None
+    want = [(4, "e", 4), (5, "c", 3), (6, "b", 2), (7, "a", 1), (8, "d", 1)]
+    assert sorted(map(tuple, vocabulary.build_vocab(df, "text", 9).where("id > 3").collect())) == want
+    monkeypatch.setattr(largevocab, "_names", lambda ws, seed: few(ws, seed) if seed == 0 else names(ws, seed))
+    assert [r.token for r in largevocab.top_words(df, "text", 5).orderBy("rank").collect()] == ["e", "c", "b", "a", "d"]
+
+
 def test_rebalancing(spark):
     rows = [(i, "big") for i in range(600)] + [(1000 + i, "small") for i in range(45)] + [(2000 + i, None) for i in range(200)]
     df = spark.createDataFrame(rows, "id int, label string")
